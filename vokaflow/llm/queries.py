@@ -23,5 +23,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_best_fit_packing,)}
 ORACLE_SQL: dict[str, str] = {}
