@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -29,5 +30,14 @@ def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op9_bloom_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_scoring import score_documents
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    scored = score_documents(docs.withColumn("doc_id", F.struct("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"))), docs.filter(~F.coalesce(held_out, F.lit(False))))
+    return scored.select("doc_id.doc_id", "doc_id.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_best_fit_packing,)}
 ORACLE_SQL: dict[str, str] = {}
