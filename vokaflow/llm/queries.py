@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import line_dedup, quality
 from .common import table
 
 
@@ -30,6 +31,12 @@ def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality_rules
+
+    return quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash")
+
+
 def op9_bloom_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_scoring import score_documents
 
@@ -39,5 +46,11 @@ def op9_bloom_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id.doc_id", "doc_id.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_minhash_near_dedup, op3_best_fit_packing,)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_line_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedupe_lines
+
+    return dedupe_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
+ORACLE_SQL: dict[str, str] = {"op5_line_frequency_quality": quality.oracle_sql(), "op10_line_site_spread": line_dedup.oracle_sql()}
