@@ -11,6 +11,20 @@ from . import line_dedup, quality
 from .common import table
 
 
+def op1_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages in one population: pages bring markup and addresses, a document's host is its source."""
+    from . import language_id as li
+    from .url_filter import url_host
+
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    nothing = F.lit(None).cast("long")
+    host = url_host(F.col("url"))
+    rows = docs.select("doc_id", nothing.alias("page_id"), "text", F.lit("").alias("declared"), F.col("source").alias("host"), F.lit("").alias("suffix")).unionByName(
+        pages.select(nothing.alias("doc_id"), "page_id", li.visible_text(F.col("html")).alias("text"), li.declared_language(F.col("html")).alias("declared"), host.alias("host"), li.host_suffix(host).alias("suffix"))
+    )
+    return li.identify(rows, li.train(docs))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dedup import near_duplicate_classes
 
@@ -37,6 +51,19 @@ def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
+def op7_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import scan_secrets
+
+    scanned = scan_secrets(table(spark, sf_dir, "documents"))
+    return scanned.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def op8_link_graph_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_bloom_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm_scoring import score_documents
 
