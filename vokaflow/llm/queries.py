@@ -79,5 +79,11 @@ def op10_line_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: f for name, f in list(globals().items()) if name.startswith(("op", "pipeline")) and callable(f)}
 ORACLE_SQL: dict[str, str] = {"op5_line_frequency_quality": quality.oracle_sql(), "op10_line_site_spread": line_dedup.oracle_sql()}
