@@ -51,6 +51,17 @@ def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash")
 
 
+def op6_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .telephony import decode_media, store_texts
+
+    read = decode_media(store_texts(table(spark, sf_dir, "documents")), keep_pcm=False)
+    tail = F.crc32(F.substring("payload", -64, 64))
+    return read.select(
+        "doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), tail.alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
+    )
+
+
 def op7_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import scan_secrets
 
