@@ -1,15 +1,14 @@
 """Numbers as Turkish words, on digit strings of any length, without a UDF.
 
 Digits are cut into groups of twelve from the right; within a group the thousands have names of
-their own, and each further group is counted in trillions. Words for 0 to 999 come from an array that
-is built once on the driver.
+their own, and each further group is counted in trillions.
 """
 
 from __future__ import annotations
 
 import sys
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,9 +26,16 @@ ORDINAL = {"a": "ıncı", "ı": "ıncı", "e": "inci", "i": "inci", "o": "uncu",
 _OPEN, _CLOSE = "", ""
 
 
-def _below_thousand(n: int) -> str:
-    hundreds = [HUNDRED] if n // 100 == 1 else [ONES[n // 100], HUNDRED] if n >= 200 else []
-    return " ".join(filter(None, [*hundreds, TENS[n // 10 % 10], ONES[n % 10]]))
+def _list(words: Sequence[str]) -> Column:
+    """The words as one folded literal: an array of literals would swell every plan."""
+    return F.split(F.lit("|".join(words)), r"\|")
+
+
+def _below_thousand(n: Column) -> Column:
+    """Words for 1 to 999."""
+    hundreds = _list(["", HUNDRED, *(f"{w} {HUNDRED}" for w in ONES[2:])])
+    place = lambda words, k: F.nullif(F.get(words, k.cast("int")), F.lit(""))
+    return F.concat_ws(" ", place(hundreds, F.floor(n / 100)), place(_list(TENS), F.floor(n / 10) % 10), place(_list(ONES), n % 10))
 
 
 _OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
@@ -43,7 +49,6 @@ def digits_to_words(digits: Column) -> Column:
 
 
 def _bare_to_words(bare: Column) -> Column:
-    table = F.array(*(F.lit(_below_thousand(n)) for n in range(1000)))
     groups = F.ceil(F.length(bare) / 12).cast("int")
     padded = F.lpad(bare, groups * 12, F.lit("0"))
 
@@ -52,7 +57,7 @@ def _bare_to_words(bare: Column) -> Column:
         return bound(three, lambda t: named(t, i))
 
     def named(three: Column, i: Column) -> Column:
-        of = lambda k: F.get(table, three[k])
+        of = lambda k: _below_thousand(three[k])
         large = [F.when(three[k] > 0, F.concat(of(k), F.lit(" " + name))) for k, name in enumerate((BILLION, MILLION))]
         thousands = F.when(three[2] == 1, F.lit(THOUSAND)).when(three[2] > 1, F.concat(of(2), F.lit(" " + THOUSAND)))
         return F.concat_ws(" ", *large, thousands, F.when(three[3] > 0, of(3)), F.when(i < groups - 1, F.lit(TRILLION)))

@@ -82,9 +82,13 @@ def _composed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: t if t is None or unicodedata.is_normalized("NFC", t) else unicodedata.normalize("NFC", t))
 
 
+#: Marked so that a filter on a text made from it is not pushed below it, which would make the text twice.
+_composed_once = _composed.asNondeterministic()
+
+
 def nfc(c: Column | str) -> Column:
     """Canonical composition; Spark has no such function, so this one is an Arrow UDF."""
-    return _composed(_col(c))
+    return _composed_once(_col(c))
 
 
 def plain_punctuation(c: Column | str) -> Column:

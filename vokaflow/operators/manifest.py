@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vokaflow.functions.normalize import normalize_text
 from vokaflow.functions.phonemes import phonemize
-from vokaflow.functions.text import is_blank, strip
+from vokaflow.functions.text import bound, is_blank, strip
 
 MIN_DURATION, MAX_DURATION = 0.5, 20.0
 REQUIRED = ("audio_filepath", "duration", "normalized_text", "phonemes", "speaker_id", "text")
@@ -23,8 +23,11 @@ def prepare_manifest(raw: DataFrame, *, min_duration: float = MIN_DURATION, max_
     """Manifest rows of raw (audio_filepath, text, duration, speaker_id): cheap filters first, then
     normalization and phonemes; rows left without either go."""
     rows = raw.filter(drop_reason(min_duration, max_duration).isNull()).withColumn("text", strip("text"))
-    rows = rows.withColumn("normalized_text", normalize_text("text")).withColumn("phonemes", phonemize("normalized_text"))
-    rows = rows.filter(~is_blank("normalized_text") & ~is_blank("phonemes"))
+    # A filter on the two texts would be pushed below them and make them again; an explode of at most one pair is not.
+    none = F.array().cast("array<struct<normalized_text:string,phonemes:string>>")
+    pair = lambda n, p: F.when(~is_blank(n) & ~is_blank(p), F.array(F.struct(n.alias("normalized_text"), p.alias("phonemes")))).otherwise(none)
+    made = bound(normalize_text("text"), lambda n: bound(phonemize(n), lambda p: pair(n, p)))
+    rows = rows.withColumn("_made", F.explode(made)).withColumns({"normalized_text": F.col("_made.normalized_text"), "phonemes": F.col("_made.phonemes")})
     return rows.select(*keep, "audio_filepath", "text", "normalized_text", "phonemes", F.bround("duration", 4).alias("duration"), "speaker_id")
 
 
