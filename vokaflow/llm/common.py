@@ -36,12 +36,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Texts that go to a Python worker at once: a few megabytes, so neither side holds much off the heap.
+TEXTS_PER_BATCH = 500
+
+
+def written(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """The rows of df from a Parquet table in the shared folder: lineage ends there, so a lost
-    executor costs a re-read and nothing upstream runs twice."""
+    executor costs a re-read and nothing upstream runs twice. batch: rows per Arrow batch meanwhile."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/vokaflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH)
+    if batch:
+        spark.conf.set(_BATCH, batch)
+    try:
+        df.write.parquet(path)
+    finally:
+        if batch:
+            spark.conf.set(_BATCH, before)
     # The schema is given: an empty table is read like any other.
     return spark.read.schema(df.schema).parquet(path)
 

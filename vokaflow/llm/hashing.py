@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text is worked on in runs of about so many bytes; a longer text makes a run of its own.
-RUN_BYTES = 2_000_000
+RUN_BYTES = 1_000_000
 RUN_TEXTS = 20_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -46,13 +46,13 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
-def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Index ranges of about RUN_BYTES of text and RUN_TEXTS rows at most."""
+def runs(texts: pa.Array, most: int = RUN_TEXTS) -> Iterator[tuple[int, int]]:
+    """Index ranges of about RUN_BYTES of text and ``most`` rows at most."""
     ends = np.cumsum(np.asarray(pc.binary_length(texts), dtype=np.int64))
     at = 0
     while at < len(texts):
         limit = (ends[at - 1] if at else 0) + RUN_BYTES
-        to = min(max(at + 1, int(np.searchsorted(ends, limit, side="right"))), at + RUN_TEXTS)
+        to = min(max(at + 1, int(np.searchsorted(ends, limit, side="right"))), at + most)
         yield at, to
         at = to
 

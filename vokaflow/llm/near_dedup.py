@@ -12,21 +12,28 @@ generates points up to a time by which its registers are almost surely full, and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, text_or_empty, written
+from .common import TEXTS_PER_BATCH, text_or_empty, written
 from .hashing import mix, runs, unit, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 0.99994 at 0.8.
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-#: Buckets up to this size compare all their unlinked texts; larger ones are split by further bands.
-SMALL_BUCKET = 48
+#: A bucket compares the sketches of its texts outside its largest component with all its texts, if
+#: that makes no more comparisons than this; otherwise it is split by further bands.
+MOST_COMPARED = 1 << 18
+#: PLANES bits a register make a sketch. Registers differ in it with probability (1 - similarity) * (1 - 2**-PLANES), so
+#: at 0.8 more than MOST_APART of 192 do for one pair in some 100,000s. Totals limit a similarity too.
+PLANES, SKETCH_LONGS, MOST_APART = 4, REGISTERS // 64, 60
+#: A list of so many wanted texts (40 bytes each) may be broadcast; a longer one is joined by shuffle.
+BROADCAST_TEXTS = 200_000
 _HASH_BITS = np.uint64(48)
 
 
@@ -110,13 +117,29 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b in runs(batch.column(2)):
+        for a, b in runs(batch.column(2), 1000):
             part = batch.slice(a, b - a)
             bags = shingle_bags(part.column(2))
-            keys = band_keys(signatures(*bags, len(part))).view(np.int64)
-            some = np.bincount(bags[0], minlength=len(part)) > 0
-            bands = [k.tobytes() if s else None for k, s in zip(keys, some, strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.binary())], ["id", "th", "bands"])
+            signature = signatures(*bags, len(part))
+            weight = np.bincount(bags[0], weights=bags[2], minlength=len(part)).astype(np.int64)
+            bands = [k.tobytes() if w else None for k, w in zip(band_keys(signature), weight, strict=True)]
+            planes = [np.packbits(((signature >> np.uint64(k)) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64) for k in range(PLANES)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bands, pa.binary()), pa.array(weight), *(pa.array(c) for p in planes for c in p.T)], ["id", "th", "bands", *_NUMBERS])
+
+
+_NUMBERS = ("weight", *(f"s{p}{k}" for p in range(PLANES) for k in range(SKETCH_LONGS)))
+
+
+def _apart(left: str, right: str) -> Column:
+    """In how many registers two sketched rows differ."""
+    differ = [reduce(Column.bitwiseOR, (F.col(f"{left}.s{p}{k}").bitwiseXOR(F.col(f"{right}.s{p}{k}")) for p in range(PLANES))) for k in range(SKETCH_LONGS)]
+    return reduce(Column.__add__, map(F.bit_count, differ))
+
+
+def _alike(left: str, right: str) -> Column:
+    """Whether two sketched rows may reach the threshold."""
+    lw, rw = F.col(f"{left}.weight"), F.col(f"{right}.weight")
+    return (F.least(lw, rw) >= F.greatest(lw, rw) * SIMILARITY) & (_apart(left, right) <= MOST_APART)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -142,30 +165,27 @@ def connected(edges: DataFrame) -> DataFrame:
     """(node, comp) for the nodes of edges (a, b): comp is the least node that a path reaches.
 
     Each round every node of the contracted graph takes the least label next to it, labels are
-    shortened by a jump, and edges inside a component go; nothing is gathered on the driver.
+    shortened by two jumps, and edges inside a component go; labels that are not final yet leave
+    an edge to what they point at. Nothing is gathered on the driver.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
-    rest = written(both, "edges")
+
+    def both(df: DataFrame) -> DataFrame:
+        return written(df.union(df.select("b", "a")).filter("a <> b").distinct(), "edges")
+
+    rest = both(edges.select("a", "b"))
     comps: DataFrame | None = None
     while not rest.isEmpty():
         near = rest.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("up"))
-        parent = written(near, "parent")
-        while True:  # pointer jumps until every node points at a root
-            root = parent.select(F.col("node").alias("up"), F.col("up").alias("upper"))
-            jumped = parent.join(root, "up", "left").select("node", F.coalesce("upper", "up").alias("next"), "up")
-            jumped = written(jumped, "jump")
-            moved = not jumped.filter("next <> up").isEmpty()
-            dropped(parent)
-            parent = jumped.select("node", F.col("next").alias("up"))
-            if not moved:
-                break
+        once = near.join(near.select(F.col("node").alias("up"), F.col("up").alias("up2")), "up").select("node", F.col("up2").alias("up"))
+        parent = written(once.join(near.select(F.col("node").alias("up"), F.col("up").alias("beyond")), "up"), "parent")
+        label = parent.select("node", "up")
         if comps is None:
-            comps = parent.select("node", F.col("up").alias("comp"))
+            comps = label.withColumnRenamed("up", "comp")
         else:
-            comps = written(comps.join(parent.withColumnRenamed("node", "comp"), "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "comps")
-        a = parent.select(F.col("node").alias("a"), F.col("up").alias("ua"))
-        b = parent.select(F.col("node").alias("b"), F.col("up").alias("ub"))
-        rest = written(rest.join(a, "a").join(b, "b").filter("ua <> ub").select(F.col("ua").alias("a"), F.col("ub").alias("b")).distinct(), "edges")
+            comps = written(comps.join(label.withColumnRenamed("node", "comp"), "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "comps")
+        a, b = label.toDF("a", "ua"), label.toDF("b", "ub")
+        open_ = parent.filter("up <> beyond").select(F.col("up").alias("a"), F.col("beyond").alias("b"))
+        rest = both(rest.filter("a < b").join(a, "a").join(b, "b").select(F.col("ua").alias("a"), F.col("ub").alias("b")).union(open_))
     return comps if comps is not None else rest.select(F.col("a").alias("node"), F.col("b").alias("comp"))
 
 
@@ -174,23 +194,30 @@ class _Texts:
 
     def __init__(self, docs: DataFrame, nodes: DataFrame):
         self.docs, self.nodes = docs, nodes
+        self.sketch = nodes.select("node", *_NUMBERS)
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """The distinct (a, b) pairs whose sketches allow the threshold, as a written table."""
+        left = pairs.join(self.sketch.alias("x"), F.col("a") == F.col("x.node"))
+        return written(left.join(self.sketch.alias("y"), (F.col("b") == F.col("y.node")) & _alike("x", "y")).select(*pairs.columns), "likely")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct (a, b) pairs whose overlap reaches the threshold, as a written table."""
         named = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = named.join(self.nodes.select("node", "rep", "th"), "node")
-        texts = self.docs.join(wanted.select("node", F.col("rep").alias("_rep"), F.col("th").alias("_th")), (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_rep"))).select("node", "text")
+        wanted = written(named.join(self.nodes, "node").select("node", F.col("rep").alias("_rep"), F.col("th").alias("_th")), "wanted")
+        listed = F.broadcast(wanted) if wanted.count() <= BROADCAST_TEXTS else wanted
+        texts = self.docs.join(listed, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_rep"))).select("node", "text")
         texts = written(texts, "texts").dropDuplicates(["node"])
         right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         rows = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        return written(rows.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links")
+        return written(rows.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links", TEXTS_PER_BATCH)
 
 
 def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs that no chain of links joins yet."""
     of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
     both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
 def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -201,55 +228,66 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
     empty ones; texts without a word are copies of one another only if equal; repeated rows share a
     class (and are kept alike); other columns are not read; no rows give no rows.
 
-    Candidates: each text of a band bucket is paired with the bucket's least text. Buckets that
-    still hold several components afterwards are compared in full if small and split by the
-    texts' other bands if large, again and again, so no bucket ever emits all its pairs at once.
+    Candidates: each text of a band bucket is paired with the bucket's least text. A bucket that
+    still holds several components afterwards compares the sketches of all its texts if small and
+    is split by their other bands if large, again and again; only pairs with alike sketches leave it.
     """
-    slim = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text_or_empty(text_column).cast("binary"))).alias("th"), text_or_empty(text_column).alias("text"))
+    text = text_or_empty(text_column)
+    slim = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
-    sketched = written(slim.mapInArrow(_sketch, f"id {kind}, th binary, bands binary"), "sketches")
-    nodes = written(sketched.groupBy("th").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    sketched = written(slim.mapInArrow(_sketch, f"id {kind}, th binary, bands binary, " + ", ".join(f"{n} long" for n in _NUMBERS)), "sketches", TEXTS_PER_BATCH)
+    nodes = sketched.groupBy("th").agg(F.min("id").alias("rep"), *(F.first(n).alias(n) for n in ("bands", *_NUMBERS)))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    # Eight bytes a band: the key as a hexadecimal string is only a name for the bucket.
-    keys = nodes.filter("bands is not null").select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring("bands", i * 8 + 1, F.lit(8))))).alias("band", "key"))
-    keys = written(keys, "keys")
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring("bands", i * 8 + 1, F.lit(8))))
+    keys = written(nodes.filter("bands is not null").select("node", F.posexplode(band).alias("band", "key")), "keys")
     buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").drop("z")
-    stars = written(keys.join(buckets, "key").filter("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "stars")
+    stars = keys.join(buckets, "key").filter("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
 
     texts = _Texts(slim, nodes)
-    nearest = stars.groupBy("b").agg(F.max(F.struct("shared", -F.col("a"))).alias("m")).select((-F.col("m.col2")).alias("a"), "b")
+    stars = texts.likely(stars)
+    nearest = stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
     edges = texts.linked(nearest)
     comps = connected(edges)
-    second = written(_across(stars.join(nearest, ["a", "b"], "left_anti"), comps), "pairs")
-    if not second.isEmpty():
-        more = texts.linked(second)
-        edges = edges.union(more)
+    # The other heads come next: they join nearly all of a dense group before its rest is compared.
+    others = written(_across(stars.join(nearest, ["a", "b"], "left_anti").select("a", "b"), comps), "others")
+    if not others.isEmpty():
+        edges = edges.union(texts.linked(others))
         comps = connected(edges)
-    members = keys.withColumn("last", F.col("band")).select("node", "key", "last")
-    tested = stars.select("a", "b")
-    for _ in range(BANDS):  # a pair shares at most so many bands
+    members, tested = keys.select("node", "key", F.col("band").alias("last")), stars.select("a", "b")
+
+    def mixed(members: DataFrame) -> DataFrame:
+        """The members of buckets that hold several components, with their component, the largest one and its cost."""
         placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least <> most").select("key", "n")
-        open_ = written(placed.join(mixed, "key"), "open")
-        if open_.isEmpty():
-            break
-        small = open_.filter(F.col("n") <= SMALL_BUCKET)
-        left, right = small.select("key", F.col("node").alias("a"), F.col("comp").alias("ca")), small.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        pairs = left.join(right, "key").filter("a < b and ca <> cb").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        large = open_.filter(F.col("n") > SMALL_BUCKET)
-        split = written(large.select("node", F.col("key").alias("outer"), "last").join(keys, "node").filter("band > last").select("node", F.xxhash64("outer", "key").alias("key"), F.col("band").alias("last")), "members")
-        if not split.isEmpty():
-            heads = split.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").drop("z")
-            heads = split.join(heads, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-            pairs = written(_across(pairs.union(heads).distinct(), comps), "pairs")
+        own = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
+        several = own.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top")).filter("top.m < n").select("key", F.col("top.comp").alias("top"), ((F.col("n") - F.col("top.m")) * F.col("n")).alias("compared"))
+        return placed.join(several, "key")
+
+    for _ in range(BANDS):  # a pair shares at most so many bands
+        open_ = written(mixed(members).join(texts.sketch, "node"), "open")
+        small, large = open_.filter(F.col("compared") <= MOST_COMPARED), open_.filter(F.col("compared") > MOST_COMPARED)
+        x, y = small.filter("comp <> top").alias("x"), small.alias("y")
+        across = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.node") < F.col("y.node")))
+        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & across & _alike("x", "y"))
+        pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        split = not large.isEmpty()
+        if split:
+            # A text outside the largest component opens a part of the bucket; the others only fill it.
+            wide = large.select("node", "comp", "top", F.col("key").alias("outer"), "last").join(keys, "node").filter("band > last")
+            wide = wide.select("node", F.xxhash64("outer", "key").alias("key"), F.col("band").alias("last"), (F.col("comp") != F.col("top")).alias("opens"))
+            opened = wide.filter("opens").select("key").distinct()
+            members = written(wide.drop("opens").join(opened, "key", "left_semi"), "members")
+            heads = members.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").drop("z")
+            pairs = pairs.union(texts.likely(members.join(heads, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()))
+        pairs = written(_across(pairs.distinct().join(tested, ["a", "b"], "left_anti"), comps), "pairs")
         tested = tested.union(pairs)
         if not pairs.isEmpty():
-            more = texts.linked(pairs)
-            if not more.isEmpty():
-                edges = edges.union(more)
+            found = texts.linked(pairs)
+            if not found.isEmpty():
+                edges = edges.union(found)
                 comps = connected(edges)
-        members = split
+        if not split:
+            break
 
     of = nodes.select("node", "th", "rep").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = of.groupBy("comp").agg(F.min(F.struct("rep", "th")).alias("m"))
