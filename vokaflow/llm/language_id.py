@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import TEXTS_PER_BATCH, text_or_empty, written
 from .hashing import mix, runs
 
 #: The candidate languages; labels, declarations and suffixes of others are no evidence.
@@ -131,7 +131,7 @@ def identify(rows: DataFrame, model: np.ndarray, *, languages: Sequence[str] = L
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
     scored = own.mapInArrow(_likelihood(table, len(languages)), kinds + "".join(f", t{i} double" for i in n))
     scored = scored.withColumn("cc", F.coalesce(F.create_map(*(F.lit(x) for kv in SUFFIX_LANGUAGE.items() for x in kv))[F.col("suffix")], F.lit("")))
-    scored = written(_posterior(scored, [F.col(f"t{i}") + _named("declared", DECLARED_RIGHT, languages, i) for i in n], [f"p{i}" for i in n]), "likelihoods")
+    scored = written(_posterior(scored, [F.col(f"t{i}") + _named("declared", DECLARED_RIGHT, languages, i) for i in n], [f"p{i}" for i in n]), "likelihoods", TEXTS_PER_BATCH)
 
     sums = lambda names: [F.sum(a).alias(b) for a, b in names]
     host = scored.groupBy("host", "suffix").agg(F.count(F.lit(1)).alias("hn"), *sums((f"p{i}", f"h{i}") for i in n))

@@ -22,20 +22,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import TEXTS_PER_BATCH, text_or_empty, written
 from .hashing import mix, runs, word_hashes
 
 #: Levels 1, 2, 3, ... hold counts from floor * BASE ** (level - 1). Words (kind 1) are held from one
 #: occurrence on; a bigram (kind 2) seen once says no more than its words and is left to them.
 FLOORS, BASE = {1: 1, 2: 2}, 2.0
 #: The filter's bound, the bits that a (n-gram, level) pair gets below it, and its probes.
-FILTER_BYTES, BITS_PER_PAIR, PROBES = 32 << 20, 8, 3
+FILTER_BYTES, BITS_PER_PAIR, PROBES = 16 << 20, 8, 3
 #: The most frequent words whose exact counts are broadcast: 16 bytes each.
-DICTIONARY_WORDS = 1 << 20
+DICTIONARY_WORDS = 1 << 19
 #: The word estimate counts like so many tokens of the context (a Dirichlet prior).
 PRIOR = 1000.0
 #: Characters of text that a hash bucket answers for, about.
-BUCKET_CHARS = 8_000_000
+BUCKET_CHARS = 4_000_000
+#: Hash arrays in an Arrow batch: about a megabyte, so little is held off the heap.
+ARRAYS_PER_BATCH = 16
 END = np.uint64(0x8F1BBCDCBFA53E0B)
 
 
@@ -100,7 +102,9 @@ def _count(buckets: int):
             edges = np.searchsorted(hashes, (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64))
             cut = [0, *edges.tolist(), len(hashes)]
             rows = [(k, _pack(hashes[a:b], count[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
-            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(rows), pa.int32()), pa.array([k for k, _ in rows], pa.int64()), pa.array([d for _, d in rows], pa.binary())], ["kind", "bucket", "data"])
+            for i in range(0, len(rows), ARRAYS_PER_BATCH):
+                bucket, data = zip(*rows[i : i + ARRAYS_PER_BATCH], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([kind] * len(bucket), pa.int32()), pa.array(bucket, pa.int64()), pa.array(data, pa.binary())], ["kind", "bucket", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [[], []], 0
@@ -110,7 +114,7 @@ def _count(buckets: int):
                 kept[0].append(token)
                 kept[1].append(bigrams(token, counts))
                 size += len(token)
-                if size >= 4_000_000:
+                if size >= 1_500_000:
                     yield from flush(kept)
                     kept, size = [[], []], 0
         if size:
@@ -229,7 +233,7 @@ def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FIL
     buckets = max(64, 1 << math.ceil(math.log2(max(1, chars / BUCKET_CHARS))))
     counted = texts.mapInArrow(_count(buckets), "kind int, bucket long, data binary")
     schema = "kind int, bucket long, total long, distinct long, pairs long, powers array<long>, hashes binary, counts binary"
-    merged = written(counted.groupBy("kind", "bucket").applyInArrow(_merge, schema), "ngrams")
+    merged = written(counted.groupBy("kind", "bucket").applyInArrow(_merge, schema), "ngrams", ARRAYS_PER_BATCH)
     own = merged.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"), F.sum("pairs").alias("pairs")).collect()
     words = next((r for r in own if r["kind"] == 1), None)
     pairs = sum(r["pairs"] for r in own)
@@ -246,9 +250,10 @@ def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FIL
         least -= 1
         fits += powers[least] if powers else 0
     top = merged.filter("kind = 1").select("hashes", "counts").mapInArrow(_unpacked(1 << least), "hash long, count long")
-    known = top.toPandas()
-    order = np.argsort(known["hash"].to_numpy(np.int64).view(np.uint64))
-    model = Model(data, words["total"] if words else 0, words["distinct"] if words else 0, known["hash"].to_numpy(np.int64).view(np.uint64)[order], known["count"].to_numpy(np.int64)[order])
+    known = top.toArrow()
+    hashes, count = known["hash"].to_numpy().view(np.uint64), known["count"].to_numpy()
+    order = np.argsort(hashes)
+    model = Model(data, words["total"] if words else 0, words["distinct"] if words else 0, hashes[order], count[order])
     return model, merged.filter("kind = 1").select("hashes", "counts").mapInArrow(_unpacked(1), "hash long, count long")
 
 
@@ -299,7 +304,7 @@ def score_documents(docs: DataFrame, training: DataFrame, *, id_column: str = "d
     kind = docs.schema[id_column].dataType.simpleString()
     slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     scored = slim.mapInArrow(_score(shared), f"id {kind}, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>")
-    scored = written(scored.withColumn("rid", F.monotonically_increasing_id()), "scored")
+    scored = written(scored.withColumn("rid", F.monotonically_increasing_id()), "scored", TEXTS_PER_BATCH)
     rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("rid", F.col("r.rare").alias("hash"), F.col("r.times").alias("times"))
     denominator = float(model.total + model.distinct + 1)
     found = rare.join(counts, "hash", "left").groupBy("rid").agg(
