@@ -15,6 +15,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -22,13 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import TEXTS_PER_BATCH, text_or_empty, written
 
 CAPACITY, EOS = 1024, 2
-#: Words whose ids a worker remembers; on overflow it starts anew.
-CACHED_WORDS = 600_000
+#: Words and pieces of words whose ids a worker remembers; on overflow it starts anew.
+CACHED_WORDS, CACHED_PIECES = 550_000, 120_000
 #: Texts with any other character are encoded whole, so two Unicode tables never have to agree.
-_ODD = re.compile("[^\t\n\r\x20-\x7e -ɏ‐-‧€]")
+_ODD = re.compile("[^\t\n\x20-\x7e -ɏ‐-‧€]")
+
+#: White space next to white space, or other than a space and a newline: pieces may then cross a space.
+_PAIRS = ("  ", "\n\n", " \n", "\n ", "\t", "\xa0")
 
 
 class CapacityTree:
@@ -102,12 +106,21 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> tuple[np.ndarr
     return np.array(sorted(runs), dtype=np.int64).reshape(-1, 5), opened
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level BPE names each byte: printable Latin-1 as it is, the other
+    bytes by the letters from 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(others)) for b in range(256)}
+
+
 @lru_cache(maxsize=4)
 def token_bytes(path: str) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit numbers.
 
     A byte-level BPE never merges across the pieces of its split pattern, so a worker looks each
-    piece up and asks the tokenizer only for new ones.
+    piece up and asks the tokenizer's model only for new ones. Where white space only comes
+    singly, no piece crosses the place before a space, so whole space-led words are looked up.
     """
     import public_tokenizers
     import regex
@@ -116,17 +129,45 @@ def token_bytes(path: str) -> Callable[[str], bytes]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     pieces = regex.compile(public_tokenizers.PATTERN).findall
-    encode = lambda text: np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    letters, model = _byte_letters(), tokenizer.model
+
+    class Pieces(dict):
+        def __missing__(self, piece: str) -> bytes:
+            if len(self) >= CACHED_PIECES:
+                self.clear()
+            named = piece.encode().decode("latin-1").translate(letters)
+            ids = self[piece] = pack(f"<{len(found := model.tokenize(named))}I", *[t.id for t in found])
+            return ids
 
-    class Known(dict):
+    class Words(dict):
         def __missing__(self, word: str) -> bytes:
             if len(self) >= CACHED_WORDS:
                 self.clear()
-            ids = self[word] = encode(word)
+            if word.isalpha():
+                ids = of_piece(" " + word)
+            elif word[-1:] in (".", ",") and word[:-1].isalpha():
+                ids = of_piece(" " + word[:-1]) + of_piece(word[-1])
+            else:
+                ids = b"".join(map(of_piece, pieces(" " + word)))
+            self[word] = ids
             return ids
 
-    known = Known()
-    return lambda text: encode(text) if _ODD.search(text) else b"".join(map(known.__getitem__, pieces(text)))
+    of_piece, of_word = Pieces().__getitem__, Words().__getitem__
+
+    def of_line(line: str) -> bytes:
+        head, space, rest = line.partition(" ")
+        start = b"".join(map(of_piece, pieces(head)))
+        return start + b"".join(map(of_word, rest.split(" "))) if space else start
+
+    def encode(text: str) -> bytes:
+        lines = text.split("\n")
+        if not all(map(str.isprintable, lines)) if text.isascii() else _ODD.search(text):
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if any(pair in text for pair in _PAIRS):
+            return b"".join(map(of_piece, pieces(text)))
+        return of_piece("\n").join(map(of_line, lines))
+
+    return encode
 
 
 def _cut(path: str, capacity: int, eos: int, with_ids: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -205,4 +246,4 @@ def pack_documents(docs: DataFrame, *, tokenizer: str, id_column: str = "doc_id"
     their own; other columns, whatever their names, are not read; no rows give no rows.
     """
     cut = cut_documents(docs, tokenizer=tokenizer, id_column=id_column, text_column=text_column, capacity=capacity, eos=eos, with_ids=with_ids)
-    return pack_pieces(written(cut, "pieces"), id_column=id_column, capacity=capacity)
+    return pack_pieces(written(cut, "pieces", TEXTS_PER_BATCH), id_column=id_column, capacity=capacity)
