@@ -83,8 +83,9 @@ def corpus(seed=1):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("compared", [1 << 18, 20])
-def test_classes_equal_brute_force(spark, monkeypatch, compared):
+@pytest.mark.parametrize(("paired", "compared"), [(1 << 10, 1 << 18), (2, 1 << 18), (1, 20)])
+def test_classes_equal_brute_force(spark, monkeypatch, paired, compared):
+    monkeypatch.setattr(nd, "MOST_PAIRED", paired)
     monkeypatch.setattr(nd, "MOST_COMPARED", compared)
     docs = corpus()
     df = spark.createDataFrame([(i, t, "clash") for i, t in docs] + [(3, docs[3][1], "clash")], "doc_id long, text string, node string")

@@ -29,6 +29,8 @@ REGISTERS = BANDS * ROWS
 #: A bucket compares the sketches of its texts outside its largest component with all its texts, if
 #: that makes no more comparisons than this; otherwise it is split by further bands.
 MOST_COMPARED = 1 << 18
+#: From so many comparisons on a bucket's texts meet in one task, which keeps the links alone; below, pairs with alike sketches do.
+MOST_PAIRED = 1 << 10
 #: PLANES bits a register make a sketch. Registers differ in it with probability (1 - similarity) * (1 - 2**-PLANES), so
 #: at 0.8 more than MOST_APART of 192 do for one pair in some 100,000s. Totals limit a similarity too.
 PLANES, SKETCH_LONGS, MOST_APART = 4, REGISTERS // 64, 60
@@ -161,6 +163,33 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(c, linked, strict=True) if k], pa.int64()) for c in (left, right)], ["a", "b"])
 
 
+def _compare(key: tuple, rows: pa.Table) -> pa.Table:
+    """The links (a, b) between a bucket's texts outside its largest component and the other components' texts.
+
+    One text's bag is looked up in the bags of all at once, so no pair is ever made but a link.
+    """
+    rows = rows.combine_chunks()
+    node, comp, top = (rows.column(c).to_numpy() for c in ("node", "comp", "top"))
+    text, count, shingle = [], [], []
+    texts = rows.column("text").chunk(0)
+    for a, b in runs(texts, 1000):
+        t, h, c = shingle_bags(texts.slice(a, b - a))
+        text.append(t + a), shingle.append(h), count.append(c)
+    text, shingle, count = (np.concatenate(x) for x in (text, shingle, count))
+    weight = np.bincount(text, weights=count, minlength=len(node))
+    ends = np.searchsorted(text, np.arange(len(node) + 1))
+    out: list[np.ndarray] = []
+    for i in np.flatnonzero(comp != top):
+        h, c = shingle[ends[i] : ends[i + 1]], count[ends[i] : ends[i + 1]]
+        at = np.minimum(np.searchsorted(h, shingle), len(h) - 1)
+        hit = np.flatnonzero(h[at] == shingle)
+        common = np.bincount(text[hit], weights=np.minimum(c[at[hit]], count[hit]), minlength=len(node))
+        near = (common >= SIMILARITY * (weight + weight[i] - common)) & (comp != comp[i]) & ((comp == top) | (node > node[i]))
+        out.append(np.stack([np.minimum(node[near], node[i]), np.maximum(node[near], node[i])]))
+    a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, comp) for the nodes of edges (a, b): comp is the least node that a path reaches.
 
@@ -201,13 +230,21 @@ class _Texts:
         left = pairs.join(self.sketch.alias("x"), F.col("a") == F.col("x.node"))
         return written(left.join(self.sketch.alias("y"), (F.col("b") == F.col("y.node")) & _alike("x", "y")).select(*pairs.columns), "likely")
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the distinct (a, b) pairs whose overlap reaches the threshold, as a written table."""
-        named = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = written(named.join(self.nodes, "node").select("node", F.col("rep").alias("_rep"), F.col("th").alias("_th")), "wanted")
+    def of(self, named: DataFrame) -> DataFrame:
+        """(node, text) of rows of (node)."""
+        wanted = written(named.distinct().join(self.nodes, "node").select("node", F.col("rep").alias("_rep"), F.col("th").alias("_th")), "wanted")
         listed = F.broadcast(wanted) if wanted.count() <= BROADCAST_TEXTS else wanted
         texts = self.docs.join(listed, (F.col("th") == F.col("_th")) & F.col("id").eqNullSafe(F.col("_rep"))).select("node", "text")
-        texts = written(texts, "texts").dropDuplicates(["node"])
+        return written(texts, "texts").dropDuplicates(["node"])
+
+    def compared(self, members: DataFrame) -> DataFrame:
+        """The links within the buckets of members (key, node, comp, top), as a written table."""
+        rows = members.join(self.of(members.select("node")), "node").select("key", "node", "comp", "top", "text")
+        return written(rows.groupBy("key").applyInArrow(_compare, "a long, b long").distinct(), "links")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Those of the distinct (a, b) pairs whose overlap reaches the threshold, as a written table."""
+        texts = self.of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
         right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
         rows = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return written(rows.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links", TEXTS_PER_BATCH)
@@ -229,8 +266,8 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
     class (and are kept alike); other columns are not read; no rows give no rows.
 
     Candidates: each text of a band bucket is paired with the bucket's least text. A bucket that
-    still holds several components afterwards compares the sketches of all its texts if small and
-    is split by their other bands if large, again and again; only pairs with alike sketches leave it.
+    still holds several components afterwards pairs texts with alike sketches if small, compares
+    all its texts in one task if larger, and is split by their other bands beyond that, again and again.
     """
     text = text_or_empty(text_column)
     slim = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
@@ -265,7 +302,8 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
 
     for _ in range(BANDS):  # a pair shares at most so many bands
         open_ = written(mixed(members).join(texts.sketch, "node"), "open")
-        small, large = open_.filter(F.col("compared") <= MOST_COMPARED), open_.filter(F.col("compared") > MOST_COMPARED)
+        cost = F.col("compared")
+        small, dense, large = open_.filter(cost <= MOST_PAIRED), open_.filter((cost > MOST_PAIRED) & (cost <= MOST_COMPARED)), open_.filter(cost > MOST_COMPARED)
         x, y = small.filter("comp <> top").alias("x"), small.alias("y")
         across = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.node") < F.col("y.node")))
         pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & across & _alike("x", "y"))
@@ -281,11 +319,11 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
             pairs = pairs.union(texts.likely(members.join(heads, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()))
         pairs = written(_across(pairs.distinct().join(tested, ["a", "b"], "left_anti"), comps), "pairs")
         tested = tested.union(pairs)
-        if not pairs.isEmpty():
-            found = texts.linked(pairs)
-            if not found.isEmpty():
-                edges = edges.union(found)
-                comps = connected(edges)
+        found = [f(rows) for f, rows in ((texts.linked, pairs), (texts.compared, dense)) if not rows.isEmpty()]
+        for links in found:
+            edges = edges.union(links)
+        if any(not links.isEmpty() for links in found):
+            comps = connected(edges)
         if not split:
             break
 
