@@ -60,3 +60,23 @@ def test_no_rows(spark):
     assert score_documents(none, none).count() == 0
     some = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert score_documents(some, none).first()["n_known"] == 0
+
+
+def test_a_filter_beyond_its_bound_is_asked_in_segments(spark):
+    # 20,000 words once, 3,000 bigrams often: far more pairs than 4096 bytes hold.
+    texts = [" ".join(f"w{i}x{k}" for k in range(500)) for i in range(40)] + [" ".join(f"c{(i * 7 + k) % 3000}" for k in range(1500)) for i in range(20)]
+    texts += [None, "", "unseen words only", "c1 c2 unseen c3"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    training = docs.filter("doc_id < 60")
+    whole, asked = ({r["doc_id"]: r for r in score_documents(docs, training, filter_bytes=n).collect()} for n in (1 << 24, 1 << 12))
+    assert whole.keys() == asked.keys() and len(asked) == len(texts)
+    for i, r in whole.items():
+        assert tuple(asked[i])[:4] == tuple(r)[:4] and abs(asked[i]["base_score"] - r["base_score"]) < 1e-9 * abs(r["base_score"])
+        assert abs(asked[i]["score"] - r["score"]) < 1e-9 * abs(r["score"])
+
+
+def test_a_full_filter_ends_at_the_largest_level():
+    from vokaflow.llm.lm_scoring import LogFrequencyFilter
+
+    full = LogFrequencyFilter(np.full(4096, 255, np.uint8), {1: 5, 2: 3})
+    assert full.levels(np.arange(9, dtype=np.uint64), 1).tolist() == [5] * 9 and full.levels(np.arange(9, dtype=np.uint64), 2).tolist() == [3] * 9

@@ -3,8 +3,9 @@
 The model is an interpolated word bigram model. Its n-gram counts are not kept as a table: a
 count is quantised to a level on a log scale, and the filter holds the pairs (n-gram, 1) to
 (n-gram, level). A count is read back by probing level after level until one is missing, so a
-false positive can only raise it by a little, and seldom. The filter has a bound in bytes; it is built in
-segments by n-gram hash on the executors and broadcast to the workers.
+false positive can only raise it by a little, and seldom. The filter is sized to its content and built in
+segments by n-gram hash on the executors. Up to a bound in bytes it is broadcast to the workers; beyond it
+each run of texts asks the segments for its n-grams, and the answers come back to the run.
 
 Counts of all n-grams come from all training text. Map tasks count in numpy and ship sorted arrays of hashes per
 hash bucket, not rows; a bucket's arrays meet in one task, and the number of buckets follows the
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +30,7 @@ from .hashing import mix, runs, word_hashes
 #: Levels 1, 2, 3, ... hold counts from floor * BASE ** (level - 1). Words (kind 1) are held from one
 #: occurrence on; a bigram (kind 2) seen once says no more than its words and is left to them.
 FLOORS, BASE = {1: 1, 2: 2}, 2.0
-#: The filter's bound, the bits that a (n-gram, level) pair gets below it, and its probes.
+#: The largest filter that is broadcast, the bits that a (n-gram, level) pair gets at least, and its probes.
 FILTER_BYTES, BITS_PER_PAIR, PROBES = 16 << 20, 8, 3
 #: The most frequent words whose exact counts are broadcast: 16 bytes each.
 DICTIONARY_WORDS = 1 << 19
@@ -38,6 +40,10 @@ PRIOR = 1000.0
 BUCKET_CHARS = 4_000_000
 #: Hash arrays in an Arrow batch: about a megabyte, so little is held off the heap.
 ARRAYS_PER_BATCH = 16
+#: Tokens of a run of texts that asks the segments at once, and its rows in an Arrow batch.
+RUN_TOKENS, ASKED_PER_BATCH = 2_000_000, 16
+#: The filter knows an n-gram by the top 48 bits of its hash: six bytes to ask for it.
+KEY = np.uint64(0xFFFFFFFFFFFF0000)
 END = np.uint64(0x8F1BBCDCBFA53E0B)
 
 
@@ -129,69 +135,64 @@ def _merge(key: tuple, rows: pa.Table) -> pa.Table:
     parts = [_unpack(d.as_py()) for d in rows.column("data")]
     hashes, count = _counted(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
     total, distinct = int(count.sum()), len(hashes)
-    pairs = int(level_of(count, kind).sum())
+    pairs, most = int(level_of(count, kind).sum()), int(count.max(initial=0))
     kept = count >= FLOORS[kind]
     hashes, count = hashes[kept], count[kept]
     powers = np.bincount(np.floor(np.log2(count)).astype(np.int64), minlength=63)[:63] if kind == 1 and len(count) else np.zeros(63, np.int64)
     return pa.table({
         "kind": pa.array([kind], pa.int32()), "bucket": pa.array([bucket], pa.int64()), "total": pa.array([total], pa.int64()), "distinct": pa.array([distinct], pa.int64()),
-        "pairs": pa.array([pairs], pa.int64()), "powers": pa.array([powers.tolist()], pa.list_(pa.int64())), "hashes": pa.array([hashes.tobytes()], pa.binary()), "counts": pa.array([count.astype("<i8").tobytes()], pa.binary()),
+        "pairs": pa.array([pairs], pa.int64()), "most": pa.array([most], pa.int64()), "powers": pa.array([powers.tolist()], pa.list_(pa.int64())), "hashes": pa.array([hashes.tobytes()], pa.binary()), "counts": pa.array([count.astype("<i8").tobytes()], pa.binary()),
     })
 
 
-def _positions(hashes: np.ndarray, level: int, kind: int, bits: int) -> list[np.ndarray]:
-    """The bits of (n-gram, level), all within the n-gram's segment of 1/SEGMENTS of the filter."""
-    segment = bits // SEGMENTS
-    base = (hashes >> np.uint64(64 - SEGMENTS.bit_length() + 1)).astype(np.int64) * segment
-    x = mix(hashes + np.uint64((level * 2 + kind) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+def _positions(hashes: np.ndarray, level: int, kind: int, segment: int) -> list[np.ndarray]:
+    """The bits of (n-gram, level) within the n-gram's segment of so many bits."""
+    x = mix((hashes & KEY) + np.uint64((level * 2 + kind) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     step = (x >> np.uint64(32)) | np.uint64(1)
-    return [base + ((x + np.uint64(k) * step) % np.uint64(segment)).astype(np.int64) for k in range(PROBES)]
+    return [((x + np.uint64(k) * step) % np.uint64(segment)).astype(np.int64) for k in range(PROBES)]
 
 
-SEGMENTS = 64
-
-
-def _segments(bits: int):
-    """(kind, hashes, counts) to (segment, data): the bits set in each segment by a run of buckets."""
+def _segments(segment: int):
+    """(kind, bucket, hashes, counts) to (segment, data): the bits that a bucket sets in its segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filter_: dict[int, np.ndarray] = {}
-        segment = bits // SEGMENTS
         for batch in batches:
-            for kind, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for kind, bucket, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 h, levels = np.frombuffer(hashes, "<u8"), level_of(np.frombuffer(counts, "<i8"), kind)
+                own = np.zeros(segment // 8, np.uint8)
                 for level in range(1, int(levels.max(initial=0)) + 1):
-                    for at in _positions(h[levels >= level], level, kind, bits):
-                        for s in np.unique(at // segment):
-                            own = filter_.setdefault(int(s), np.zeros(segment // 8, np.uint8))
-                            x = at[at // segment == s] - s * segment
-                            np.bitwise_or.at(own, x >> 3, (1 << (x & 7)).astype(np.uint8))
-        yield pa.RecordBatch.from_arrays([pa.array(list(filter_), pa.int32()), pa.array([v.tobytes() for v in filter_.values()], pa.binary())], ["segment", "data"])
+                    for x in _positions(h[levels >= level], level, kind, segment):
+                        np.bitwise_or.at(own, x >> 3, (1 << (x & 7)).astype(np.uint8))
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([own.tobytes()], pa.binary())], ["segment", "data"])
 
     return run
 
 
 def _either(key: tuple, rows: pa.Table) -> pa.Table:
     both = np.bitwise_or.reduce([np.frombuffer(d.as_py(), np.uint8) for d in rows.column("data")])
-    return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([both.tobytes()], pa.binary())})
+    return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([both.tobytes()], pa.binary())})
 
 
 class LogFrequencyFilter:
-    """Quantised n-gram counts by repeated membership probes."""
+    """Quantised n-gram counts by repeated membership probes, up to the largest level of each kind.
+
+    data holds ``segments`` segments (a power of two) by the top bits of the hash, or a single one of them.
+    """
 
-    def __init__(self, data: np.ndarray):
-        self.data, self.bits = data, 8 * len(data)
+    def __init__(self, data: np.ndarray, largest: dict[int, int], segments: int = 1):
+        self.data, self.largest, self.segments = data, largest, segments
+        self.segment = 8 * len(data) // segments
 
     def levels(self, hashes: np.ndarray, kind: int) -> np.ndarray:
-        out = np.zeros(len(hashes), np.int64)
-        at, level = np.arange(len(hashes)), 0
-        while len(at):
-            level += 1
-            for x in _positions(hashes[at], level, kind, self.bits)[:1]:
-                at = at[self._set(x)]
-            for k in range(1, PROBES):
+        out, at = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
+        bits = self.segments.bit_length() - 1
+        base = (hashes >> np.uint64(64 - bits)).astype(np.int64) * self.segment if bits else np.zeros(len(hashes), np.int64)
+        for level in range(1, self.largest.get(kind, 0) + 1):
+            for k in range(PROBES):
                 if len(at):
-                    at = at[self._set(_positions(hashes[at], level, kind, self.bits)[k])]
+                    at = at[self._set(base[at] + _positions(hashes[at], level, kind, self.segment)[k])]
+            if not len(at):
+                break
             out[at] = level
         return out
 
@@ -199,11 +200,41 @@ class LogFrequencyFilter:
         return (self.data[x >> 3] >> (x & 7).astype(np.uint8)) & 1 == 1
 
 
+class Answers:
+    """The levels of a run's n-grams as the segments gave them: the sorted hashes of each kind and their levels."""
+
+    def __init__(self, names: dict[int, np.ndarray], levels: dict[int, np.ndarray]):
+        self.names, self.found = names, levels
+
+    def levels(self, hashes: np.ndarray, kind: int) -> np.ndarray:
+        return self.found[kind][np.searchsorted(self.names[kind], hashes & KEY)]
+
+
+def _asked_names(parts: list[pa.RecordBatch]) -> list[np.ndarray]:
+    """The distinct filter keys of the words and of the bigrams of (id, text) rows."""
+    names: list[list[np.ndarray]] = [[], []]
+    for part in parts:
+        token, counts = tokens(part.column(1))
+        names[0].append(np.unique(token & KEY))
+        names[1].append(np.unique(bigrams(token, counts) & KEY))
+    return [np.unique(np.concatenate(x)) for x in names]
+
+
+def _six(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _from_six(data: bytes, offset: int) -> np.ndarray:
+    out = np.zeros(((len(data) - offset) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8, offset=offset).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 class Model:
-    """What workers hold: the filter, the totals, the dictionary of exact counts."""
+    """What workers hold: the filter (None where its segments are asked), the totals, the dictionary of exact counts."""
 
-    def __init__(self, data: np.ndarray, total: int, distinct: int, words: np.ndarray, counts: np.ndarray):
-        self.filter, self.total, self.distinct = LogFrequencyFilter(data), total, distinct
+    def __init__(self, filter_: LogFrequencyFilter | Answers | None, total: int, distinct: int, words: np.ndarray, counts: np.ndarray):
+        self.filter, self.total, self.distinct = filter_, total, distinct
         self.words, self.counts = words, counts
 
     def log_probabilities(self, token: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -226,23 +257,29 @@ class Model:
         return value[where], known[where]
 
 
-def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FILTER_BYTES, dictionary_words: int = DICTIONARY_WORDS) -> tuple[Model, DataFrame]:
-    """The model, and (hash, count) of every training word as a DataFrame over written buckets."""
+def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FILTER_BYTES, dictionary_words: int = DICTIONARY_WORDS) -> tuple[Model, DataFrame, DataFrame, dict[int, int], int]:
+    """The model, (hash, count) of every training word as a DataFrame over written buckets, and the filter's
+    segments (segment, data), the largest level of each kind and the number of segments."""
     texts = docs.select(text_or_empty(text_column).alias("text"))
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(64, 1 << math.ceil(math.log2(max(1, chars / BUCKET_CHARS))))
     counted = texts.mapInArrow(_count(buckets), "kind int, bucket long, data binary")
-    schema = "kind int, bucket long, total long, distinct long, pairs long, powers array<long>, hashes binary, counts binary"
+    schema = "kind int, bucket long, total long, distinct long, pairs long, most long, powers array<long>, hashes binary, counts binary"
     merged = written(counted.groupBy("kind", "bucket").applyInArrow(_merge, schema), "ngrams", ARRAYS_PER_BATCH)
-    own = merged.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"), F.sum("pairs").alias("pairs")).collect()
+    own = merged.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"), F.sum("pairs").alias("pairs"), F.max("most").alias("most")).collect()
     words = next((r for r in own if r["kind"] == 1), None)
     pairs = sum(r["pairs"] for r in own)
-    size = min(filter_bytes, 1 << max(12, math.ceil(math.log2(max(1, pairs * BITS_PER_PAIR / 8)))))
-    data = np.zeros(size, np.uint8)
-    built = merged.select("kind", "hashes", "counts").mapInArrow(_segments(8 * size), "segment int, data binary").groupBy("segment").applyInArrow(_either, "segment int, data binary")
-    for r in built.toLocalIterator():
-        start = r["segment"] * (size // SEGMENTS)
-        data[start : start + size // SEGMENTS] = np.frombuffer(bytes(r["data"]), np.uint8)
+    largest = {r["kind"]: int(level_of(np.array([r["most"]]), r["kind"])[0]) for r in own}
+    # A bucket's n-grams are all in one segment.
+    size = max(8 * buckets, 1 << max(12, math.ceil(math.log2(max(1, pairs * BITS_PER_PAIR / 8)))))
+    parts = merged.select("kind", "bucket", "hashes", "counts").mapInArrow(_segments(8 * size // buckets), "segment long, data binary")
+    built = parts.groupBy("segment").applyInArrow(_either, "segment long, data binary")
+    filter_ = None
+    if size <= filter_bytes:
+        data, segment = np.zeros(size, np.uint8), size // buckets
+        for r in built.toLocalIterator():
+            data[r["segment"] * segment : (r["segment"] + 1) * segment] = np.frombuffer(bytes(r["data"]), np.uint8)
+        filter_ = LogFrequencyFilter(data, largest, buckets)
     # Powers of two of a count, from the top, as long as the words that reach them fit in the dictionary.
     powers = [r["n"] for r in merged.filter("kind = 1").select(F.posexplode("powers").alias("power", "n")).groupBy("power").agg(F.sum("n").alias("n")).orderBy("power").collect()]
     least, fits = 63, 0
@@ -253,8 +290,8 @@ def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FIL
     known = top.toArrow()
     hashes, count = known["hash"].to_numpy().view(np.uint64), known["count"].to_numpy()
     order = np.argsort(hashes)
-    model = Model(data, words["total"] if words else 0, words["distinct"] if words else 0, hashes[order], count[order])
-    return model, merged.filter("kind = 1").select("hashes", "counts").mapInArrow(_unpacked(1), "hash long, count long")
+    model = Model(filter_, words["total"] if words else 0, words["distinct"] if words else 0, hashes[order], count[order])
+    return model, merged.filter("kind = 1").select("hashes", "counts").mapInArrow(_unpacked(1), "hash long, count long"), built, largest, buckets
 
 
 def _unpacked(least: int):
@@ -268,29 +305,139 @@ def _unpacked(least: int):
     return run
 
 
+def _scored(m: Model, part: pa.RecordBatch) -> pa.RecordBatch:
+    """The scores of (id, text) rows, and the words of each that the dictionary has not."""
+    token, counts = tokens(part.column(1))
+    starts = np.cumsum(counts) - counts
+    base, known = m.base(token)
+    text = np.repeat(np.arange(len(part), dtype=np.int64), counts)[~known]
+    rare = np.flatnonzero(~known)
+    order = np.lexsort((token[rare], text))
+    text, rare = text[order], token[rare][order]
+    new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (rare[1:] != rare[:-1])])) if len(rare) else np.zeros(0, np.int64)
+    times = np.diff(np.append(new, len(rare)))
+    ends = np.searchsorted(text[new], np.arange(len(part) + 1))
+    lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (rare[new].view(np.int64), times)]
+    sums = [np.add.reduceat(v, starts) for v in (base, known.astype(np.int64), m.log_probabilities(token, counts))]
+    return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), *map(pa.array, (sums[1], sums[0], sums[2])), *lists], ["id", "n_tokens", "n_known", "base_score", "score", "rare", "times"])
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
         for batch in batches:
             for a, b in runs(batch.column(1)):
-                part = batch.slice(a, b - a)
-                token, counts = tokens(part.column(1))
-                starts = np.cumsum(counts) - counts
-                base, known = m.base(token)
-                text = np.repeat(np.arange(len(part), dtype=np.int64), counts)[~known]
-                rare = np.flatnonzero(~known)
-                order = np.lexsort((token[rare], text))
-                text, rare = text[order], token[rare][order]
-                new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (rare[1:] != rare[:-1])])) if len(rare) else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(rare)))
-                ends = np.searchsorted(text[new], np.arange(len(part) + 1))
-                lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (rare[new].view(np.int64), times)]
-                sums = [np.add.reduceat(v, starts) for v in (base, known.astype(np.int64), m.log_probabilities(token, counts))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), *map(pa.array, (sums[1], sums[0], sums[2])), *lists], ["id", "n_tokens", "n_known", "base_score", "score", "rare", "times"])
+                yield _scored(model.value, batch.slice(a, b - a))
 
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to (run, segment, data): runs of rows, as segment -1."""
+
+    def flush(number: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, parts[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in parts:
+                out.write_batch(part)
+        run = (TaskContext.get().partitionId() << 32) + number
+        return pa.RecordBatch.from_arrays([pa.array([run], pa.int64()), pa.array([-1], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["run", "segment", "data"])
+
+    parts, size, number = [], 0, 0
+    for batch in batches:
+        for a, b in runs(batch.column(1)):
+            parts.append(batch.slice(a, b - a))
+            size += int(word_hashes(parts[-1].column(1))[1].sum()) + b - a
+            if size >= RUN_TOKENS:
+                yield flush(number, parts)
+                parts, size, number = [], 0, number + 1
+    if parts:
+        yield flush(number, parts)
+
+
+def _ask(segments: int):
+    """(run, segment, data) of runs to the same of each run's distinct n-grams in each segment."""
+    inner = (np.arange(1, segments, dtype=object) * (1 << 64) // segments).astype(np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, texts in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
+                names = _asked_names(list(pa.ipc.open_stream(texts.as_buffer())))
+                cut = [[0, *np.searchsorted(x, inner).tolist(), len(x)] for x in names]
+                rows = []
+                for k in range(segments):
+                    first, second = (x[c[k] : c[k + 1]] for x, c in zip(names, cut, strict=True))
+                    if len(first) or len(second):
+                        rows.append((k, np.array([len(first)], "<i8").tobytes() + _six(first) + _six(second)))
+                segment, data = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(rows), pa.int64()), pa.array(segment, pa.int64()), pa.array(data, pa.binary())], ["run", "segment", "data"])
+
+    return run
+
+
+def _answer(largest: dict[int, int]):
+    """(run, segment, data) by segment, the filter's first as run -1, to the same with the n-grams' levels behind them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, filter_ = -1, None
+        for batch in batches:
+            rows = []
+            for number, segment, data in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if number < 0:
+                    held, filter_ = segment, LogFrequencyFilter(np.frombuffer(data, np.uint8), largest)
+                    continue
+                names = _from_six(data, 8)
+                first = int(np.frombuffer(data, "<i8", 1)[0])
+                if segment == held:
+                    levels = np.concatenate([filter_.levels(names[:first], 1), filter_.levels(names[first:], 2)])
+                else:  # no training n-gram is there
+                    levels = np.zeros(len(names), np.int64)
+                rows.append((number, segment, np.array([first], "<i8").tobytes() + levels.astype(np.uint8).tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["run", "segment", "data"])
+
+    return run
+
+
+def _score_answered(model):
+    """(run, segment, data) by run and segment, its texts first and then the answers, to the scores."""
+
+    def scores(texts: bytes, answers: list[bytes]) -> Iterator[pa.RecordBatch]:
+        parts = list(pa.ipc.open_stream(texts))
+        names = _asked_names(parts)
+        split = [(np.frombuffer(x, np.uint8, offset=8), int(np.frombuffer(x, "<i8", 1)[0])) for x in answers]
+        found = {1: np.concatenate([x[:n] for x, n in split]), 2: np.concatenate([x[n:] for x, n in split])}
+        shared: Model = model.value
+        m = Model(Answers({1: names[0], 2: names[1]}, {k: v.astype(np.int64) for k, v in found.items()}), shared.total, shared.distinct, shared.words, shared.counts)
+        for part in parts:
+            yield _scored(m, part)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, answers = None, []
+        for batch in batches:
+            for segment, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if segment >= 0:
+                    answers.append(data)
+                    continue
+                if texts is not None:
+                    yield from scores(texts, answers)
+                texts, answers = data, []
+        if texts is not None:
+            yield from scores(texts, answers)
+
+    return run
+
+
+def _by_segments(slim: DataFrame, shared, built: DataFrame, largest: dict[int, int], segments: int, schema: str) -> DataFrame:
+    """The scored rows of (id, text) by a filter that no worker holds as a whole."""
+    layout = "run long, segment long, data binary"
+    texts = written(slim.mapInArrow(_runs, layout), "runs", TEXTS_PER_BATCH)
+    filters = built.select(F.lit(-1).cast("long").alias("run"), "segment", "data")
+    met = filters.union(texts.mapInArrow(_ask(segments), layout)).repartition("segment").sortWithinPartitions("segment", "run")
+    answered = written(met.mapInArrow(_answer(largest), layout), "answers", ASKED_PER_BATCH)
+    back = texts.union(answered).repartition("run").sortWithinPartitions("run", "segment")
+    return back.mapInArrow(_score_answered(shared), schema)
+
+
 def score_documents(docs: DataFrame, training: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", filter_bytes: int = FILTER_BYTES, dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
     """One row per document: the id, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -299,12 +446,14 @@ def score_documents(docs: DataFrame, training: DataFrame, *, id_column: str = "d
     training rows every probability is 1; other columns are not read; no rows give no rows.
     """
     spark: SparkSession = docs.sparkSession
-    model, counts = train(training, text_column=text_column, filter_bytes=filter_bytes, dictionary_words=dictionary_words)
+    model, counts, built, largest, segments = train(training, text_column=text_column, filter_bytes=filter_bytes, dictionary_words=dictionary_words)
     shared = spark.sparkContext.broadcast(model)
     kind = docs.schema[id_column].dataType.simpleString()
     slim = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
-    scored = slim.mapInArrow(_score(shared), f"id {kind}, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>")
-    scored = written(scored.withColumn("rid", F.monotonically_increasing_id()), "scored", TEXTS_PER_BATCH)
+    schema = f"id {kind}, n_tokens long, n_known long, base_score double, score double, rare array<long>, times array<long>"
+    whole = model.filter is not None
+    scored = slim.mapInArrow(_score(shared), schema) if whole else _by_segments(slim, shared, built, largest, segments, schema)
+    scored = written(scored.withColumn("rid", F.monotonically_increasing_id()), "scored", TEXTS_PER_BATCH if whole else ASKED_PER_BATCH)
     rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("rid", F.col("r.rare").alias("hash"), F.col("r.times").alias("times"))
     denominator = float(model.total + model.distinct + 1)
     found = rare.join(counts, "hash", "left").groupBy("rid").agg(
