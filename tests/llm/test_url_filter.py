@@ -58,3 +58,13 @@ def test_query(spark):
 
 def test_no_rows(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_distrust_does_not_thin_out_over_many_linkers(spark):
+    link = lambda *hosts: "".join(f'<a href="//{h}/x">y</a>' for h in hosts)
+    rows = [(i, f"http://farm{i}.net/x", link("bad.com")) for i in range(200)] + [(500, "http://bad.com/de/", "")]
+    rows += [(600, "http://paper.net/x", link("bad.com", *(f"other{k}.net" for k in range(9)))), (601, "http://mostly.net/x", link("bad.com", "bad.com", "bad.com", "other1.net"))]
+    got = {r["page_id"]: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i]["verdict"] == "block" and abs(got[i]["distrust"] - 0.85) < 1e-9 for i in range(200))
+    assert got[600]["verdict"] == "allow" and abs(got[600]["distrust"] - 0.085) < 1e-9
+    assert got[601]["verdict"] == "block" and abs(got[601]["distrust"] - 0.85 * 0.75) < 1e-9
