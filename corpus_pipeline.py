@@ -16,7 +16,7 @@ from vokaflow.llm.line_dedup import dedupe_lines
 from vokaflow.llm.mixing import mix_sources
 from vokaflow.llm.near_dedup import near_duplicate_classes
 from vokaflow.llm.packing import pack_documents
-from vokaflow.llm.quality import quality_rules
+from vokaflow.llm.quality import quality_rules, without_lines
 
 
 def _hash() -> Column:
@@ -33,9 +33,11 @@ def _matching(docs: DataFrame, keys: DataFrame, how: str, *more: str) -> DataFra
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    kept = quality_rules(docs).filter("kept").select("doc_id", "text_hash", "source").distinct()
-    return _matching(docs, kept, "left_semi", "source")
+    """Documents that the quality rules reject go, and from the others the lines that are frequent on their host; n_chars follows."""
+    kept = quality_rules(docs).filter("kept").select("doc_id", "text_hash", "source", "lost_lines").distinct()
+    out = _matching(docs, kept, "inner", "source").withColumn("text", without_lines(F.col("text"), F.col("_lost_lines")))
+    n_chars = F.when(F.col("_lost_lines").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,3 +54,15 @@ def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in cp.STAGES:
         assert stage(spark, docs, "").count() == 0
+
+
+def test_quality_removes_the_frequent_lines_of_a_host(spark):
+    own = lambda i: " ".join(f"q{i}x{k}" for k in range(60))
+    texts = {i: f"{own(i)}\n\nSubscribe  to OUR letter\nend {i}" for i in range(52)}
+    rows = [(i, t, "en", "a", len(t)) for i, t in texts.items()] + [(0, texts[0], "en", "a", len(texts[0])), (99, f"{own(99)}\nsubscribe to our letter", "en", "b", None)]
+    out = cp.quality(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert len(out) == len(rows)
+    got = {r["doc_id"]: r for r in out}
+    whole = [i for i in texts if got[i]["text"] == texts[i]]
+    assert len(whole) == 1 and got[99]["text"] == rows[-1][1] and got[99]["n_chars"] is None
+    assert all(got[i]["text"] == f"{own(i)}\n\nend {i}" and got[i]["n_chars"] == len(got[i]["text"]) for i in texts if i not in whole)

@@ -53,12 +53,13 @@ def repeated_words(df: DataFrame, words: str, name: str) -> DataFrame:
 
 def quality_rules(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", most_texts: int = MOST_TEXTS, most_lost: float = MOST_LOST) -> DataFrame:
     """One row per document: the id, host, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, n_lost_words, kept.
+    n_repeat_words, base_failed, n_lost_words, kept, lost_lines.
 
     The method: lines are normalised and hashed, and the different texts with a line counted per
     host (copies of a text are one text). A line in more than ``most_texts`` is removed from
     all of them but the one with the least text hash, so its content stays once. A document that thereby
     loses more than ``most_lost`` of its words is depleted. kept is false if the base rules fail or it is depleted.
+    lost_lines holds the places of the removed lines in the text split at newlines (null for none); without_lines() takes them out.
 
     A null text has no words and fails; null hosts are one host; repeated rows are one text and
     get equal results; other columns are not read; no rows give no rows.
@@ -66,7 +67,8 @@ def quality_rules(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
     text = text_or_empty(text_column)
     df = docs.select(F.col(id_column).alias("id"), F.col(host_column).alias("host"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
     df = df.withColumn("words", word_array(F.col("text"))).withColumn("lines", lines_with_words(F.col("text")))
-    df = df.withColumn("hashed", F.transform("lines", lambda line: F.struct(F.xxhash64(normalised(line)).alias("h"), F.size(word_array(line)).alias("n"))))
+    hashed = F.transform(F.split("text", "\n"), lambda line, i: F.struct(F.xxhash64(normalised(line)).alias("h"), F.size(word_array(line)).alias("n"), i.alias("place")))
+    df = df.withColumn("hashed", F.filter(hashed, lambda line: line["n"] > 0))
     df = repeated_words(df, "words", "n_repeat_words").select(
         "id", "host", "th",
         F.size("words").cast("long").alias("n_words"),
@@ -76,18 +78,25 @@ def quality_rules(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
         "n_repeat_words", "hashed",
     )
     counted = written(df.withColumn("rid", F.monotonically_increasing_id()), "counted")
-    lines = counted.select("rid", "host", "th", F.explode("hashed").alias("line")).select("rid", "host", "th", "line.h", "line.n")
+    lines = counted.select("rid", "host", "th", F.explode("hashed").alias("line")).select("rid", "host", "th", "line.h", "line.n", "line.place")
     texts = lines.select("host", "h", "th").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("texts"), F.min("th").alias("owner"))
     frequent = texts.filter(F.col("texts") > most_texts).select(F.col("host").alias("_host"), F.col("h").alias("_h"), "owner")
     lost = lines.join(frequent, (F.col("h") == F.col("_h")) & F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("th") != F.col("owner"))
-    lost = lost.groupBy("rid").agg(F.sum("n").alias("lost"))
+    lost = lost.groupBy("rid").agg(F.sum("n").alias("lost"), F.sort_array(F.collect_list("place")).alias("lost_lines"))
     out = counted.drop("hashed").join(lost, "rid", "left").withColumn("n_lost_words", F.coalesce("lost", F.lit(0)).cast("long"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("n_lost_words") <= most_lost * F.col("n_words")))
-    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words", "kept")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words", "kept", "lost_lines")
     return out.select(F.col("id").alias(id_column), F.col("host").alias(host_column), F.lower(F.hex("th")).alias("text_hash"), *counts)
 
 
+def without_lines(text: Column, places: Column) -> Column:
+    """The text without the lines at these places; as it is where they are null."""
+    lines = F.split(text, "\n")
+    left = F.filter(lines, lambda _, i: ~F.array_contains(places, i))
+    return F.when(places.isNull(), text).otherwise(F.array_join(left, "\n"))
+
+
 def oracle_sql(most_texts: int = MOST_TEXTS, most_lost: float = MOST_LOST) -> str:
     """quality_rules of ``documents`` in DuckDB's SQL."""
     word = r"[^\x20\x09-\x0D]+"

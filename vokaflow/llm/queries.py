@@ -48,7 +48,7 @@ def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash", "lost_lines")
 
 
 def op6_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
