@@ -120,3 +120,37 @@ def test_components(spark):
 
 def test_no_rows(spark):
     assert nd.near_duplicate_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_blocks_bring_every_open_pair_of_a_bucket_together(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    rows = [(7, i, 0 if i < 9 else i, 0, 21, 12) for i in range(21)]
+    got = nd._blocks(spark.createDataFrame(rows, "key long, node long, comp long, top long, n long, m long")).collect()
+    asking, asked = ({k: {r["node"] for r in got if r["key"] == k and r["asks"] == a} for k in {r["key"] for r in got}} for a in (True, False))
+    assert {(x, y) for k in asking for x in asking[k] for y in asked[k]} == {(x, y) for x in range(9, 21) for y in range(21)}
+    assert len(asked) > 1
+
+
+def test_a_pair_in_a_large_family_below_the_threshold_is_found(spark, monkeypatch):
+    # 40 texts on one template, unlinked, but for the two last; every bucket counts as too large for one task.
+    rng = random.Random(5)
+    template = [f"t{k}" for k in range(300)]
+
+    def changed(words, n, tag):
+        out = list(words)
+        for k in rng.sample(range(len(out)), n):
+            out[k] = f"{tag}y{k}"
+        return out
+
+    texts = [changed(template, 14, i) for i in range(40)]
+    texts[39] = changed(texts[38], 4, "z")
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    monkeypatch.setattr(nd, "MOST_PAIRED", 0)
+    monkeypatch.setattr(nd, "MOST_COMPARED", 0)
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    got = nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by: dict = {}
+    for r in got:
+        by.setdefault(r["class_id"], set()).add(r["doc_id"])
+    assert sorted(map(sorted, by.values())) == sorted(map(sorted, brute(rows)))
+    assert by[38] == {38, 39}

@@ -27,8 +27,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
 #: A bucket compares the sketches of its texts outside its largest component with all its texts, if
-#: that makes no more comparisons than this; otherwise it is split by further bands.
-MOST_COMPARED = 1 << 18
+#: that makes no more comparisons than this, in one task; otherwise blocks of about BLOCK texts meet in a task each.
+MOST_COMPARED, BLOCK = 1 << 18, 1024
 #: From so many comparisons on a bucket's texts meet in one task, which keeps the links alone; below, pairs with alike sketches do.
 MOST_PAIRED = 1 << 10
 #: PLANES bits a register make a sketch. Registers differ in it with probability (1 - similarity) * (1 - 2**-PLANES), so
@@ -164,12 +164,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(key: tuple, rows: pa.Table) -> pa.Table:
-    """The links (a, b) between a bucket's texts outside its largest component and the other components' texts.
+    """The links (a, b) between the texts that ask, all outside the bucket's largest component, and other components' texts.
 
     One text's bag is looked up in the bags of all at once, so no pair is ever made but a link.
     """
     rows = rows.combine_chunks()
     node, comp, top = (rows.column(c).to_numpy() for c in ("node", "comp", "top"))
+    asks = rows.column("asks").to_numpy(zero_copy_only=False)
     text, count, shingle = [], [], []
     texts = rows.column("text").chunk(0)
     for a, b in runs(texts, 1000):
@@ -179,7 +180,7 @@ def _compare(key: tuple, rows: pa.Table) -> pa.Table:
     weight = np.bincount(text, weights=count, minlength=len(node))
     ends = np.searchsorted(text, np.arange(len(node) + 1))
     out: list[np.ndarray] = []
-    for i in np.flatnonzero(comp != top):
+    for i in np.flatnonzero(asks):
         h, c = shingle[ends[i] : ends[i + 1]], count[ends[i] : ends[i + 1]]
         at = np.minimum(np.searchsorted(h, shingle), len(h) - 1)
         hit = np.flatnonzero(h[at] == shingle)
@@ -238,8 +239,8 @@ class _Texts:
         return written(texts, "texts").dropDuplicates(["node"])
 
     def compared(self, members: DataFrame) -> DataFrame:
-        """The links within the buckets of members (key, node, comp, top), as a written table."""
-        rows = members.join(self.of(members.select("node")), "node").select("key", "node", "comp", "top", "text")
+        """The links within the buckets of members (key, node, comp, top, asks), as a written table."""
+        rows = members.join(self.of(members.select("node")), "node").select("key", "node", "comp", "top", "asks", "text")
         return written(rows.groupBy("key").applyInArrow(_compare, "a long, b long").distinct(), "links")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
@@ -250,6 +251,16 @@ class _Texts:
         return written(rows.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links", TEXTS_PER_BATCH)
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """Buckets cut for compared(): each block of the texts outside the largest component with each block of all texts."""
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), blocks(n))
+    asking = members.filter("comp <> top").select("*", own("m").alias("i"), F.lit(True).alias("asks")).select("*", every("n").alias("j"))
+    asked = members.select("*", own("n").alias("j"), F.lit(False).alias("asks")).select("*", every("m").alias("i"))
+    return asking.unionByName(asked).select(F.xxhash64("key", "i", "j").alias("key"), "node", "comp", "top", "asks")
+
+
 def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs that no chain of links joins yet."""
     of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
@@ -267,7 +278,7 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
 
     Candidates: each text of a band bucket is paired with the bucket's least text. A bucket that
     still holds several components afterwards pairs texts with alike sketches if small, compares
-    all its texts in one task if larger, and is split by their other bands beyond that, again and again.
+    all its texts in one task if larger, and block by block over several tasks beyond that.
     """
     text = text_or_empty(text_column)
     slim = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
@@ -291,41 +302,29 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
     if not others.isEmpty():
         edges = edges.union(texts.linked(others))
         comps = connected(edges)
-    members, tested = keys.select("node", "key", F.col("band").alias("last")), stars.select("a", "b")
+    members, tested = keys.select("node", "key"), stars.select("a", "b")
 
     def mixed(members: DataFrame) -> DataFrame:
         """The members of buckets that hold several components, with their component, the largest one and its cost."""
         placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         own = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-        several = own.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top")).filter("top.m < n").select("key", F.col("top.comp").alias("top"), ((F.col("n") - F.col("top.m")) * F.col("n")).alias("compared"))
+        several = own.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top")).filter("top.m < n").select("key", F.col("top.comp").alias("top"), "n", (F.col("n") - F.col("top.m")).alias("m"), ((F.col("n") - F.col("top.m")) * F.col("n")).alias("compared"))
         return placed.join(several, "key")
 
-    for _ in range(BANDS):  # a pair shares at most so many bands
-        open_ = written(mixed(members).join(texts.sketch, "node"), "open")
-        cost = F.col("compared")
-        small, dense, large = open_.filter(cost <= MOST_PAIRED), open_.filter((cost > MOST_PAIRED) & (cost <= MOST_COMPARED)), open_.filter(cost > MOST_COMPARED)
-        x, y = small.filter("comp <> top").alias("x"), small.alias("y")
-        across = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.node") < F.col("y.node")))
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & across & _alike("x", "y"))
-        pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-        split = not large.isEmpty()
-        if split:
-            # A text outside the largest component opens a part of the bucket; the others only fill it.
-            wide = large.select("node", "comp", "top", F.col("key").alias("outer"), "last").join(keys, "node").filter("band > last")
-            wide = wide.select("node", F.xxhash64("outer", "key").alias("key"), F.col("band").alias("last"), (F.col("comp") != F.col("top")).alias("opens"))
-            opened = wide.filter("opens").select("key").distinct()
-            members = written(wide.drop("opens").join(opened, "key", "left_semi"), "members")
-            heads = members.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").drop("z")
-            pairs = pairs.union(texts.likely(members.join(heads, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()))
-        pairs = written(_across(pairs.distinct().join(tested, ["a", "b"], "left_anti"), comps), "pairs")
-        tested = tested.union(pairs)
-        found = [f(rows) for f, rows in ((texts.linked, pairs), (texts.compared, dense)) if not rows.isEmpty()]
-        for links in found:
-            edges = edges.union(links)
-        if any(not links.isEmpty() for links in found):
-            comps = connected(edges)
-        if not split:
-            break
+    open_ = written(mixed(members).join(texts.sketch, "node"), "open")
+    cost = F.col("compared")
+    small, dense, large = open_.filter(cost <= MOST_PAIRED), open_.filter((cost > MOST_PAIRED) & (cost <= MOST_COMPARED)), open_.filter(cost > MOST_COMPARED)
+    x, y = small.filter("comp <> top").alias("x"), small.alias("y")
+    across = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.node") < F.col("y.node")))
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & across & _alike("x", "y"))
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    pairs = written(_across(pairs.distinct().join(tested, ["a", "b"], "left_anti"), comps), "pairs")
+    dense = dense.withColumn("asks", F.col("comp") != F.col("top"))
+    found = [f(rows) for f, rows in ((texts.linked, pairs), (texts.compared, dense), (lambda rows: texts.compared(_blocks(rows)), large)) if not rows.isEmpty()]
+    for links in found:
+        edges = edges.union(links)
+    if any(not links.isEmpty() for links in found):
+        comps = connected(edges)
 
     of = nodes.select("node", "th", "rep").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = of.groupBy("comp").agg(F.min(F.struct("rep", "th")).alias("m"))
