@@ -266,3 +266,12 @@ def test_milestones(spark, tmp_path):
         q.stop()
     assert handled == [50, 100, 200]
     assert spark.read.parquet(str(tmp_path / "done")).select(F.sum("milestone")).first()[0] == 350
+
+
+def test_a_literal_stem_that_meets_a_made_up_one_goes_through_the_ordered_pass(spark):
+    def stems(*paths):
+        rows = spark.createDataFrame([("train", i, p) for i, p in enumerate(paths)], "split string, line_no long, audio_filepath string")
+        return [r["stem"] for r in export.unique_stems(rows).orderBy("line_no").collect()]
+
+    assert stems("a/x.wav", "b/x.wav", "c/x_2.wav", "c/x_2.wav", "a/y.wav", "b/y.wav") == ["x", "x_2", "x_2_2", "x_2_3", "y", "y_2"]
+    assert stems("c/x_2.wav", "a/x.wav", "b/x.wav", "a/x.wav", "b/x.wav") == ["x_2", "x", "x_3", "x", "x_4"]

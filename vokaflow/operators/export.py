@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vokaflow.functions.text import file_stem, strip
 
@@ -30,7 +32,7 @@ def unique_stems(rows: DataFrame) -> DataFrame:
     ordered pass over just the stems concerned.
     """
     order = [split_order(), F.col("line_no")]
-    base = rows.withColumn("_base", file_stem("audio_filepath"))
+    base = rows.drop("stem").withColumn("_base", file_stem("audio_filepath"))
     owner = F.min(F.struct(split_order().alias("o"), "line_no", "audio_filepath"))
     owners = base.groupBy("_base").agg(owner.alias("_owner"), F.count_distinct("audio_filepath").alias("_paths"))
     joined = base.join(owners.select("_base", F.col("_owner.audio_filepath").alias("_own"), "_paths"), "_base")
@@ -40,7 +42,34 @@ def unique_stems(rows: DataFrame) -> DataFrame:
     suffix = F.row_number().over(Window.partitionBy("_base").orderBy(*order)) + 1
     made = joined.filter(other).withColumn("stem", F.concat("_base", F.lit("_"), suffix.cast("string")))
     out = named.unionByName(made)
-    return out.drop("_base", "_own", "_paths")
+    # A made-up name keeps its root, so only rows of one root can meet.
+    root = lambda name: F.regexp_replace(name, r"(_[0-9]+)+$", "")
+    columns = [*(c for c in base.columns if c != "_base"), "stem"]
+    met = colliding_stems(out).select(root("stem").alias("_root")).distinct()
+    apart = out.withColumn("_root", root("_base")).join(met, "_root", "left_anti").select(*columns)
+    schema = StructType([*base.drop("_base").schema.fields, StructField("stem", StringType())])
+    together = base.withColumn("_root", root("_base")).join(met, "_root", "left_semi").withColumn("_order", split_order())
+    return apart.unionByName(together.groupBy("_root").applyInArrow(_stems_in_order(columns), schema))
+
+
+def _stems_in_order(columns: list[str]):
+    """The rows of one root with their stems, each the first free name in split and line order."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("_order", "ascending"), ("line_no", "ascending")])
+        seen, following, stems = {}, {}, []
+        for path, base in zip(rows.column("audio_filepath").to_pylist(), rows.column("_base").to_pylist(), strict=True):
+            stem = base
+            if seen.get(base, path) != path:
+                i = following.get(base, 2)
+                while (stem := f"{base}_{i}") in seen:
+                    i += 1
+                following[base] = i + 1
+            seen[stem] = path
+            stems.append(stem)
+        return rows.append_column("stem", pa.array(stems, pa.string())).select(columns)
+
+    return run
 
 
 def colliding_stems(stemmed: DataFrame) -> DataFrame:
