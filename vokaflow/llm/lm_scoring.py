@@ -37,11 +37,11 @@ DICTIONARY_WORDS = 1 << 19
 #: The word estimate counts like so many tokens of the context (a Dirichlet prior).
 PRIOR = 1000.0
 #: Characters of text that a hash bucket answers for, about.
-BUCKET_CHARS = 4_000_000
+BUCKET_CHARS = 8_000_000
 #: Hash arrays in an Arrow batch: about a megabyte, so little is held off the heap.
 ARRAYS_PER_BATCH = 16
-#: Tokens of a run of texts that asks the segments at once, and its rows in an Arrow batch.
-RUN_TOKENS, ASKED_PER_BATCH = 2_000_000, 16
+#: Bytes of a run of texts that asks the segments at once, and its rows in an Arrow batch.
+RUN_OF_TEXTS, ASKED_PER_BATCH = 6_000_000, 16
 #: The filter knows an n-gram by the top 48 bits of its hash: six bytes to ask for it.
 KEY = np.uint64(0xFFFFFFFFFFFF0000)
 END = np.uint64(0x8F1BBCDCBFA53E0B)
@@ -56,6 +56,15 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, counts + 1
 
 
+def run_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token hashes, bigram hashes, tokens of each text) of many texts, worked on in runs that fit a cache."""
+    token, pair, count = [], [], []
+    for a, b in runs(texts):
+        own, counts = tokens(texts.slice(a, b - a))
+        token.append(own), pair.append(bigrams(own, counts)), count.append(counts)
+    return tuple(np.concatenate(x) if x else np.zeros(0, t) for x, t in ((token, np.uint64), (pair, np.uint64), (count, np.int64)))
+
+
 def bigrams(token: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Each token's hash with the one before it; a text's first token follows an end."""
     before = np.concatenate([[END], token[:-1]])
@@ -74,14 +83,25 @@ def count_of(level: np.ndarray, kind: int) -> np.ndarray:
     return np.where(level == 0, 0.0, np.sqrt(least * (least * BASE - 1)))
 
 
+def _new(sorted_: np.ndarray) -> np.ndarray:
+    """Where a sorted array has a value for the first time."""
+    return np.concatenate([[True], sorted_[1:] != sorted_[:-1]]) if len(sorted_) else np.zeros(0, bool)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The sorted different values; a plain sort is many times faster than numpy's hash table."""
+    x = np.sort(x)
+    return x[_new(x)]
+
+
 def _counted(hashes: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     if count is None:
         hashes = np.sort(hashes)
-        new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+        new = np.flatnonzero(_new(hashes))
         return hashes[new], np.diff(np.append(new, len(hashes)))
     order = np.argsort(hashes)
     hashes = hashes[order]
-    new = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+    new = np.flatnonzero(_new(hashes))
     return hashes[new], np.add.reduceat(count[order], new) if len(hashes) else np.zeros(0, np.int64)
 
 
@@ -201,23 +221,18 @@ class LogFrequencyFilter:
 
 
 class Answers:
-    """The levels of a run's n-grams as the segments gave them: the sorted hashes of each kind and their levels."""
+    """The levels of a run's n-grams as the segments gave them, in the order of the run's different filter keys."""
 
-    def __init__(self, names: dict[int, np.ndarray], levels: dict[int, np.ndarray]):
-        self.names, self.found = names, levels
+    def __init__(self, found: dict[int, np.ndarray]):
+        self.found = found
 
     def levels(self, hashes: np.ndarray, kind: int) -> np.ndarray:
-        return self.found[kind][np.searchsorted(self.names[kind], hashes & KEY)]
-
-
-def _asked_names(parts: list[pa.RecordBatch]) -> list[np.ndarray]:
-    """The distinct filter keys of the words and of the bigrams of (id, text) rows."""
-    names: list[list[np.ndarray]] = [[], []]
-    for part in parts:
-        token, counts = tokens(part.column(1))
-        names[0].append(np.unique(token & KEY))
-        names[1].append(np.unique(bigrams(token, counts) & KEY))
-    return [np.unique(np.concatenate(x)) for x in names]
+        """The levels of all words or all bigrams of the run."""
+        keys = hashes & KEY
+        order = np.argsort(keys)
+        out = np.empty(len(keys), np.int64)
+        out[order] = self.found[kind][np.cumsum(_new(keys[order])) - 1]
+        return out
 
 
 def _six(keys: np.ndarray) -> bytes:
@@ -237,24 +252,21 @@ class Model:
         self.filter, self.total, self.distinct = filter_, total, distinct
         self.words, self.counts = words, counts
 
-    def log_probabilities(self, token: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 P(token | token before): the bigram estimate, smoothed by the add-one word estimate."""
+    def token_scores(self, token: np.ndarray, pair: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per token: log10 of the add-one estimate from exact counts (0 where the dictionary has not the word), whether it has,
+        and log10 P(token | token before): the bigram estimate, smoothed by the add-one word estimate."""
         names, where = np.unique(token, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.words, names), max(0, len(self.words) - 1))
+        known = self.words[at] == names if len(self.words) else np.zeros(len(names), bool)
+        base = np.zeros(len(names))
+        base[known] = np.log10((self.counts[at[known]] + 1) / (self.total + self.distinct + 1))
         word = np.minimum(count_of(self.filter.levels(names, 1), 1), self.total)[where]
         before = np.concatenate([[0.0], word[:-1]])
-        before[np.cumsum(counts) - counts] = count_of(self.filter.levels(np.array([END]), 1), 1)[0]
-        pair = np.minimum(count_of(self.filter.levels(bigrams(token, counts), 2), 2), before)
+        first = np.cumsum(counts) - counts
+        before[first] = word[counts[:1] - 1]  # each text's last token is the end that its first one follows
+        double = np.minimum(count_of(self.filter.levels(pair, 2), 2), before)
         single = (word + 1) / (self.total + self.distinct + 1)
-        return np.log10((pair + PRIOR * single) / (before + PRIOR))
-
-    def base(self, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 of the add-one estimate, whether the dictionary has the token); 0 where it has not."""
-        names, where = np.unique(token, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.words, names), max(0, len(self.words) - 1))
-        known = self.words[at] == names if len(self.words) else np.zeros(len(names), bool)
-        value = np.zeros(len(names))
-        value[known] = np.log10((self.counts[at[known]] + 1) / (self.total + self.distinct + 1))
-        return value[where], known[where]
+        return base[where], known[where], np.log10((double + PRIOR * single) / (before + PRIOR))
 
 
 def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FILTER_BYTES, dictionary_words: int = DICTIONARY_WORDS) -> tuple[Model, DataFrame, DataFrame, dict[int, int], int]:
@@ -265,7 +277,8 @@ def train(docs: DataFrame, *, text_column: str = "text", filter_bytes: int = FIL
     buckets = max(64, 1 << math.ceil(math.log2(max(1, chars / BUCKET_CHARS))))
     counted = texts.mapInArrow(_count(buckets), "kind int, bucket long, data binary")
     schema = "kind int, bucket long, total long, distinct long, pairs long, most long, powers array<long>, hashes binary, counts binary"
-    merged = written(counted.groupBy("kind", "bucket").applyInArrow(_merge, schema), "ngrams", ARRAYS_PER_BATCH)
+    # As many tasks as buckets, so a task's share stays the same however large the input is.
+    merged = written(counted.repartition(buckets, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_merge, schema), "ngrams", ARRAYS_PER_BATCH)
     own = merged.groupBy("kind").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct"), F.sum("pairs").alias("pairs"), F.max("most").alias("most")).collect()
     words = next((r for r in own if r["kind"] == 1), None)
     pairs = sum(r["pairs"] for r in own)
@@ -307,9 +320,9 @@ def _unpacked(least: int):
 
 def _scored(m: Model, part: pa.RecordBatch) -> pa.RecordBatch:
     """The scores of (id, text) rows, and the words of each that the dictionary has not."""
-    token, counts = tokens(part.column(1))
+    token, pair, counts = run_tokens(part.column(1))
     starts = np.cumsum(counts) - counts
-    base, known = m.base(token)
+    base, known, score = m.token_scores(token, pair, counts)
     text = np.repeat(np.arange(len(part), dtype=np.int64), counts)[~known]
     rare = np.flatnonzero(~known)
     order = np.lexsort((token[rare], text))
@@ -318,7 +331,7 @@ def _scored(m: Model, part: pa.RecordBatch) -> pa.RecordBatch:
     times = np.diff(np.append(new, len(rare)))
     ends = np.searchsorted(text[new], np.arange(len(part) + 1))
     lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (rare[new].view(np.int64), times)]
-    sums = [np.add.reduceat(v, starts) for v in (base, known.astype(np.int64), m.log_probabilities(token, counts))]
+    sums = [np.add.reduceat(v, starts) for v in (base, known.astype(np.int64), score)]
     return pa.RecordBatch.from_arrays([part.column(0), pa.array(counts.astype(np.int64)), *map(pa.array, (sums[1], sums[0], sums[2])), *lists], ["id", "n_tokens", "n_known", "base_score", "score", "rare", "times"])
 
 
@@ -346,14 +359,20 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in runs(batch.column(1)):
             parts.append(batch.slice(a, b - a))
-            size += int(word_hashes(parts[-1].column(1))[1].sum()) + b - a
-            if size >= RUN_TOKENS:
+            size += parts[-1].column(1).nbytes
+            if size >= RUN_OF_TEXTS:
                 yield flush(number, parts)
                 parts, size, number = [], 0, number + 1
     if parts:
         yield flush(number, parts)
 
 
+def _texts(stream) -> pa.RecordBatch:
+    """The (id, text) rows of a run as one batch."""
+    rows = pa.ipc.open_stream(stream).read_all()
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(c.chunks) for c in rows.cast(pa.schema([rows.schema.field(0), ("text", pa.large_string())])).columns], ["id", "text"])
+
+
 def _ask(segments: int):
     """(run, segment, data) of runs to the same of each run's distinct n-grams in each segment."""
     inner = (np.arange(1, segments, dtype=object) * (1 << 64) // segments).astype(np.uint64)
@@ -361,7 +380,8 @@ def _ask(segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, texts in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
-                names = _asked_names(list(pa.ipc.open_stream(texts.as_buffer())))
+                token, pair, _ = run_tokens(_texts(texts.as_buffer()).column(1))
+                names = [_distinct(x & KEY) for x in (token, pair)]
                 cut = [[0, *np.searchsorted(x, inner).tolist(), len(x)] for x in names]
                 rows = []
                 for k in range(segments):
@@ -401,15 +421,11 @@ def _answer(largest: dict[int, int]):
 def _score_answered(model):
     """(run, segment, data) by run and segment, its texts first and then the answers, to the scores."""
 
-    def scores(texts: bytes, answers: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = list(pa.ipc.open_stream(texts))
-        names = _asked_names(parts)
+    def scores(texts: bytes, answers: list[bytes]) -> pa.RecordBatch:
         split = [(np.frombuffer(x, np.uint8, offset=8), int(np.frombuffer(x, "<i8", 1)[0])) for x in answers]
         found = {1: np.concatenate([x[:n] for x, n in split]), 2: np.concatenate([x[n:] for x, n in split])}
         shared: Model = model.value
-        m = Model(Answers({1: names[0], 2: names[1]}, {k: v.astype(np.int64) for k, v in found.items()}), shared.total, shared.distinct, shared.words, shared.counts)
-        for part in parts:
-            yield _scored(m, part)
+        return _scored(Model(Answers(found), shared.total, shared.distinct, shared.words, shared.counts), _texts(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, answers = None, []
@@ -419,10 +435,10 @@ def _score_answered(model):
                     answers.append(data)
                     continue
                 if texts is not None:
-                    yield from scores(texts, answers)
+                    yield scores(texts, answers)
                 texts, answers = data, []
         if texts is not None:
-            yield from scores(texts, answers)
+            yield scores(texts, answers)
 
     return run
 
@@ -432,9 +448,10 @@ def _by_segments(slim: DataFrame, shared, built: DataFrame, largest: dict[int, i
     layout = "run long, segment long, data binary"
     texts = written(slim.mapInArrow(_runs, layout), "runs", TEXTS_PER_BATCH)
     filters = built.select(F.lit(-1).cast("long").alias("run"), "segment", "data")
-    met = filters.union(texts.mapInArrow(_ask(segments), layout)).repartition("segment").sortWithinPartitions("segment", "run")
+    met = filters.union(texts.mapInArrow(_ask(segments), layout)).repartition(segments, "segment").sortWithinPartitions("segment", "run")
     answered = written(met.mapInArrow(_answer(largest), layout), "answers", ASKED_PER_BATCH)
-    back = texts.union(answered).repartition("run").sortWithinPartitions("run", "segment")
+    # Each task scores about one run; the runs are counted, so there are as many tasks.
+    back = texts.union(answered).repartition(max(1, texts.count()), "run").sortWithinPartitions("run", "segment")
     return back.mapInArrow(_score_answered(shared), schema)
 
 
