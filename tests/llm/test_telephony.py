@@ -57,7 +57,46 @@ def test_round_trip(codec):
 
 def test_resample():
     assert t.resample(np.array([0, 100, -100], np.int16), 8000, 16000).tolist() == [0, 50, 100, 0, -100, -100]
-    assert t.resample(np.arange(8, dtype=np.int16), 16000, 8000).tolist() == [0, 2, 4, 6]
+    assert t.resample(np.arange(8, dtype=np.int16), 16000, 8000).tolist() == [0, 2, 4, 6]  # too short for the filter
+
+
+def plain_samples(codec, payload):
+    """Codes to samples one by one, by the definitions of the laws."""
+    if codec == "adpcm":
+        return [x for i in range(0, len(payload), 64) for x in one_block(bytes(4) + payload[i : i + 64])]
+    out = []
+    for code in payload:
+        if codec == "mulaw":
+            code ^= 0xFF
+            size = ((2 * (code & 15) + 33) << ((code >> 4) & 7)) - 33
+            out.append(-4 * size if code & 128 else 4 * size)
+        else:
+            code ^= 0x55
+            part, low = (code >> 4) & 7, 2 * (code & 15) + 1
+            size = low if part == 0 else (low + 32) << (part - 1)
+            out.append(8 * size if code & 128 else -8 * size)
+    return out
+
+
+def test_features_of_resampled_samples_by_hand():
+    rng = np.random.default_rng(4)
+    for codec in t.CODECS:
+        payload = rng.integers(0, 256, 256).astype(np.uint8).tobytes()
+        own = plain_samples(codec, payload)
+        twice = [x for a, b in zip(own, [*own[1:], own[-1]], strict=True) for x in (a, round((a + b) / 2))]
+        signs = sum((a < 0) != (b < 0) for a, b in zip(twice, twice[1:], strict=False))
+        want = f"{codec},8000,{len(twice)},{max(map(abs, twice))},{sum(x * x for x in twice) // len(twice)},{sum(twice) // len(twice)},{signs}"
+        found, rate, data = t.unwrap(t.wrap(payload, codec))
+        pcm = t.resample(t._decode_all([(found, rate, data)])[0], rate, 16000)
+        assert pcm.tolist() == twice and t.features(codec, rate, pcm) == want
+
+
+def test_a_lower_rate_drops_what_it_cannot_hold():
+    at = np.arange(16000) / 16000
+    tone = lambda hz: (10_000 * np.sin(2 * np.pi * hz * at)).astype(np.int16)
+    level = lambda pcm: float(np.sqrt(np.mean(pcm[200:-200].astype(float) ** 2)))
+    assert level(t.resample(tone(7000), 16000, 8000)) < 0.01 * level(tone(7000))
+    assert abs(level(t.resample(tone(1000), 16000, 8000)) / level(tone(1000)) - 1) < 0.02
 
 
 def test_query(spark):
@@ -69,6 +108,9 @@ def test_query(spark):
         media = t.wrap(payload, t.CODECS[zlib.crc32(raw) % 3])
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
         assert (r["media_bytes"], r["media_sha256"]) == (len(media), hashlib.sha256(media).hexdigest())
+        codec, rate, data = t.unwrap(media)
+        pcm = t.resample(t._decode_all([(codec, rate, data)])[0], rate, 16000)
+        assert (r["pcm_bytes"], r["pcm_sha256"]) == (2 * len(pcm), hashlib.sha256(pcm.astype("<i2").tobytes()).hexdigest())
         seen[r["feature"].split(",")[0]] = seen.get(r["feature"].split(",")[0], 0) + 1
     assert set(seen) == set(t.CODECS)
 

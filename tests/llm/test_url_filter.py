@@ -1,4 +1,9 @@
+import random
 import re
+from collections import Counter
+
+import numpy as np
+import pytest
 
 from vokaflow.llm import queries
 from vokaflow.llm.url_filter import RULES, judge_urls, propagate
@@ -33,18 +38,26 @@ def test_links_spread_trust_and_distrust(spark):
     assert got[4]["trust"] > 0.8 and got[7]["trust"] == 0
 
 
-def test_propagation_equals_a_power_series(spark):
-    edges = [("a", "b", 3), ("a", "c", 1), ("b", "c", 2), ("c", "a", 5)]
-    seeds = {"a": 1.0, "d": 0.25}
-    mass = dict(seeds)
-    for _ in range(6):
-        new = dict(seeds)
-        for s, d, n in edges:
-            new[d] = new.get(d, 0) + 0.85 * mass.get(s, 0) * n / sum(x[2] for x in edges if x[0] == s)
-        mass = new
-    got = propagate(spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame(list(seeds.items()), "host string, seed double"), rounds=6)
+@pytest.mark.parametrize("shared_by", ["src", "dst"])
+def test_propagation_equals_a_dense_solve(spark, shared_by):
+    rng = random.Random(3)
+    hosts = [f"h{i}" for i in range(40)]
+    edges = list({(a, b): (a, b, rng.randrange(1, 9)) for _ in range(130) for a, b in [rng.sample(hosts, 2)]}.values())
+    edges += [("h0", f"leaf{i}", 1) for i in range(30)] + [(f"leaf{i}", "h1", 2) for i in range(30)]  # a hub and a sink
+    seeds = {h: rng.choice([0.0, 0.0, 1.0, 0.25]) for h in hosts} | {"alone": 0.5}
+    names = sorted({x for e in edges for x in e[:2]} | set(seeds))
+    at = {h: i for i, h in enumerate(names)}
+    total = Counter()
+    for s, d, n in edges:
+        total[s if shared_by == "src" else d] += n
+    moved = np.zeros((len(names), len(names)))
+    for s, d, n in edges:
+        moved[at[d], at[s]] += 0.85 * n / total[s if shared_by == "src" else d]
+    want = np.linalg.solve(np.eye(len(names)) - moved, [seeds.get(h, 0.0) for h in names])
+    got = propagate(spark.createDataFrame(edges, "src string, dst string, n long"), spark.createDataFrame(list(seeds.items()), "host string, seed double"), shared_by=shared_by)
     got = {r["host"]: r["mass"] for r in got.collect()}
-    assert got.keys() == mass.keys() and all(abs(got[h] - mass[h]) < 1e-12 for h in mass)
+    assert set(seeds) <= got.keys() <= at.keys()
+    assert all(abs(got.get(h, 0.0) - want[at[h]]) <= 1e-3 * 0.85 / 0.15 + 1e-9 for h in names)
 
 
 def test_query(spark):

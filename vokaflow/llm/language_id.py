@@ -15,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import TEXTS_PER_BATCH, text_or_empty, written
+from .common import TEXTS_PER_BATCH, spread_join, text_or_empty, written
 from .hashing import mix, runs
 
 #: The candidate languages; labels, declarations and suffixes of others are no evidence.
@@ -68,7 +69,8 @@ def train(labelled: DataFrame, *, id_column: str = "doc_id", text_column: str =
     len(languages) * BUCKETS counts reach the driver."""
     usable = labelled.filter(F.col(label_column).isin(*languages))
     share = min(1.0, rows / max(1, usable.count()))
-    picked = usable.filter(F.pmod(F.xxhash64(id_column), F.lit(1_000_000)) < int(share * 1_000_000))
+    # The whole range of the hash: a share of one row in 10**12 still picks rows.
+    picked = usable.filter(F.shiftrightunsigned(F.xxhash64(id_column, text_column), 1) <= int(share * ((1 << 63) - 1)))
     counted = picked.select(F.col(label_column).alias("lang"), text_or_empty(text_column).alias("text")).mapInArrow(_count(tuple(languages)), "lang int, slot int, n long")
     got = counted.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.ones((len(languages), BUCKETS))
@@ -123,25 +125,33 @@ def identify(rows: DataFrame, model: np.ndarray, *, languages: Sequence[str] = L
     """Adds text_lang, lang and confidence to rows of (text, declared, host, suffix, ...); text goes.
 
     lang is the most probable language, the first of ``languages`` on a tie; a null or empty text
-    is no evidence, so such a row follows its markup, suffix and host. Null hosts are one host.
+    is no evidence, so such a row follows its markup, suffix and host; nulls of these are no evidence either, and
+    null hosts are one host. Repeated rows get equal results; texts of any length are read whole; other columns
+    pass, whatever their names, but those of the three new names are replaced; no rows give no rows.
     """
     n = range(len(languages))
     table = rows.sparkSession.sparkContext.broadcast(model.astype(np.float64))
-    own = rows.select(text_or_empty("text").alias("text"), *(c for c in rows.columns if c != "text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "text")
-    scored = own.mapInArrow(_likelihood(table, len(languages)), kinds + "".join(f", t{i} double" for i in n))
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    kept = [c for c in rows.columns if c not in ("text", "lang", "text_lang", "confidence")]
+    passed = F.struct(*(F.col(f"`{c}`") for c in kept))
+    own = rows.select(text_or_empty("text").alias("text"), blank("declared").alias("declared"), blank("suffix").alias("suffix"), F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit("\0")), blank("suffix")).alias("h"), passed.alias("row"))
+    layout = T.StructType([*own.schema.fields[1:], *(T.StructField(f"t{i}", T.DoubleType()) for i in n)])
+    scored = own.mapInArrow(_likelihood(table, len(languages)), layout)
     scored = scored.withColumn("cc", F.coalesce(F.create_map(*(F.lit(x) for kv in SUFFIX_LANGUAGE.items() for x in kv))[F.col("suffix")], F.lit("")))
     scored = written(_posterior(scored, [F.col(f"t{i}") + _named("declared", DECLARED_RIGHT, languages, i) for i in n], [f"p{i}" for i in n]), "likelihoods", TEXTS_PER_BATCH)
 
     sums = lambda names: [F.sum(a).alias(b) for a, b in names]
-    host = scored.groupBy("host", "suffix").agg(F.count(F.lit(1)).alias("hn"), *sums((f"p{i}", f"h{i}") for i in n))
+    host = scored.groupBy("h", "suffix").agg(F.count(F.lit(1)).alias("hn"), *sums((f"p{i}", f"h{i}") for i in n))
     host = written(host, "hosts")
     suffix = host.groupBy("suffix").agg(F.sum("hn").alias("sn"), *sums((f"h{i}", f"s{i}") for i in n))
-    whole = suffix.agg(F.sum("sn").alias("gn"), *sums((f"s{i}", f"g{i}") for i in n))  # one row
-    prior = host.join(suffix, "suffix").crossJoin(F.broadcast(whole))
-    base = lambda i: (F.col(f"g{i}") + 1) / (F.col("gn") + len(languages))
-    prior = prior.select(F.col("host").alias("_host"), F.col("suffix").alias("_suffix"), "hn", *(f"h{i}" for i in n), *(((F.col(f"s{i}") + STRENGTH * base(i)) / (F.col("sn") + STRENGTH)).alias(f"q{i}") for i in n))
-    joined = scored.join(prior, F.col("host").eqNullSafe(F.col("_host")) & (F.col("suffix") == F.col("_suffix")))
+    whole = host.agg(F.sum("hn"), *(F.sum(f"h{i}") for i in n)).first()  # one row: the totals
+    total = whole[0] or 0
+    base = [((whole[i + 1] or 0.0) + 1) / (total + len(languages)) for i in n]
+    # Suffixes may be many, and one of them common to most hosts.
+    by_suffix = suffix.join(host.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")), "suffix").withColumn("wanted", F.lit(True))
+    prior = spread_join(host, by_suffix, "suffix", host.count())
+    prior = prior.select("h", F.col("hn").alias("n"), F.lit(True).alias("wanted"), "hn", *(f"h{i}" for i in n), *(((F.col(f"s{i}") + STRENGTH * base[i]) / (F.col("sn") + STRENGTH)).alias(f"q{i}") for i in n))
+    joined = spread_join(scored, written(prior, "priors"), "h", total)
     fused = [
         F.col(f"t{i}") + _named("declared", DECLARED_RIGHT, languages, i) + _named("cc", SUFFIX_RIGHT, languages, i)
         + F.log((F.greatest(F.col(f"h{i}") - F.col(f"p{i}"), F.lit(0.0)) + STRENGTH * F.col(f"q{i}")) / (F.col("hn") - 1 + STRENGTH))
@@ -149,5 +159,4 @@ def identify(rows: DataFrame, model: np.ndarray, *, languages: Sequence[str] = L
     ]
     out = _posterior(joined, fused, [f"f{i}" for i in n])
     best = lambda x: F.get(F.array(*map(F.lit, languages)), (F.array_position(F.array(*(f"{x}{i}" for i in n)), F.array_max(F.array(*(f"{x}{i}" for i in n)))) - 1).cast("int"))
-    kept = [c for c in rows.columns if c not in ("text", "lang", "text_lang", "confidence")]
-    return out.select(*kept, best("t").alias("text_lang"), best("f").alias("lang"), F.array_max(F.array(*(f"f{i}" for i in n))).alias("confidence"))
+    return out.select(*(F.col(f"row.`{c}`").alias(c) for c in kept), best("t").alias("text_lang"), best("f").alias("lang"), F.array_max(F.array(*(f"f{i}" for i in n))).alias("confidence"))

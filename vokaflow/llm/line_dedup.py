@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import HEAVY, spread_join, text_or_empty, whole_row, written
 from .quality import normalised, word_array
 
 #: A line of so many words or more on so many sites or more is boilerplate.
@@ -25,12 +25,19 @@ def line_spread(lines: DataFrame, *, least_sites: int = LEAST_SITES) -> DataFram
 
     n_sites is exact near the threshold and an estimate far above it; owner is the least th.
     """
-    sketches = lines.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(LOG_K)).alias("sketch"), F.min("th").alias("owner"))
-    spread = written(sketches.select("h", "owner", F.hll_sketch_estimate("sketch").alias("estimate")).filter(F.col("estimate") >= min(least_sites * (1 - NEAR), least_sites - 1)), "spread")
-    near = F.col("estimate") <= max(least_sites * (1 + NEAR), least_sites + 1)
-    exact = lines.join(spread.filter(near).select("h"), "h", "left_semi").select("h", "site").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("exact"))
+    return _counted(lines, lines.count(), least_sites).filter("wanted").select("h", "n_sites", "owner")
+
+
+def _counted(lines: DataFrame, total: int, least_sites: int) -> DataFrame:
+    """(h, n_sites, owner, n, wanted) of the boilerplate lines, which are wanted, and of all lines with a heavy share of the rows."""
+    sketches = lines.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(LOG_K)).alias("sketch"), F.min("th").alias("owner"), F.count(F.lit(1)).alias("n"))
+    likely = F.col("estimate") >= min(least_sites * (1 - NEAR), least_sites - 1)
+    sketches = sketches.select("h", "owner", "n", F.hll_sketch_estimate("sketch").alias("estimate"))
+    spread = written(sketches.filter(likely | (F.col("n") * HEAVY > total)), "spread")
+    near = likely & (F.col("estimate") <= max(least_sites * (1 + NEAR), least_sites + 1))
+    exact = spread_join(lines.select("h", "site"), spread.select("h", "n", near.alias("wanted")), "h", total).distinct().groupBy("h").agg(F.count(F.lit(1)).alias("exact"))
     counted = spread.join(exact, "h", "left").withColumn("n_sites", F.coalesce("exact", "estimate"))
-    return counted.filter(F.col("n_sites") >= least_sites).select("h", "n_sites", "owner")
+    return written(counted.select("h", "n_sites", "owner", "n", (F.col("n_sites") >= least_sites).alias("wanted")), "boilerplate")
 
 
 def dedupe_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", site_column: str = "source", least_sites: int = LEAST_SITES, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -40,23 +47,26 @@ def dedupe_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     A line of ``least_words`` words or more on ``least_sites`` sites or more stays only in the text
     with the least hash (and in its exact copies); all other lines, blank ones too, stay as
     they are. A null text stays null with no lines; a null site counts as one site; repeated rows
-    stay repeated; extra columns pass through, and n_lines and n_removed replace columns of those names.
+    stay repeated; texts of any length are split whole; extra columns pass through, whatever their names, but n_lines
+    and n_removed replace columns of those names; no rows give no rows.
     """
     text = text_or_empty(text_column)
     key = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), F.coalesce(F.col(site_column).cast("string"), F.lit("\0")).alias("site"), text.alias("text"))
     line = key.select("id", "th", "site", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     line = line.filter(F.size(word_array(F.col("line"))) >= least_words)
     line = written(line.select("id", "th", "site", "place", F.xxhash64(normalised(F.col("line"))).alias("h")), "lines")
-    boilerplate = line_spread(line, least_sites=least_sites)
-    gone = line.join(boilerplate, "h").filter(F.col("th") != F.col("owner")).groupBy("id", "th").agg(F.sort_array(F.collect_set("place")).alias("_gone"))
-    gone = gone.withColumnsRenamed({"id": "_id", "th": "_th"})
-    rows = docs.withColumn("_hash", F.unhex(F.md5(text.cast("binary"))))
-    joined = rows.join(gone, (F.col("_hash") == F.col("_th")) & F.col(id_column).eqNullSafe(F.col("_id")), "left")
-    joined = joined.withColumn("_lines", F.split(F.col(text_column), "\n"))
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"), lambda i: F.col("_lines")[i])
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
-    out = joined.withColumns({text_column: cleaned, "n_lines": F.coalesce(F.size("_lines"), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
-    return out.select(*docs.columns, *(c for c in ("n_lines", "n_removed") if c not in docs.columns))
+    total = line.count()
+    boilerplate = _counted(line, total, least_sites).select("h", "owner", "n", "wanted")
+    gone = spread_join(line.select("id", "th", "place", "h"), boilerplate, "h", total).filter(F.col("th") != F.col("owner"))
+    gone = gone.groupBy(F.col("id").alias("gone_id"), F.col("th").alias("gone_th")).agg(F.sort_array(F.collect_set("place")).alias("gone"))
+    rows = docs.select(whole_row(docs).alias("row"), F.unhex(F.md5(text.cast("binary"))).alias("th"))
+    joined = rows.join(gone, (F.col("th") == F.col("gone_th")) & F.col(f"row.`{id_column}`").eqNullSafe(F.col("gone_id")), "left")
+    own = F.col(f"row.`{text_column}`")
+    joined = joined.withColumn("lines", F.split(own, "\n"))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"), lambda i: F.col("lines")[i])
+    new = {text_column: F.when(F.col("gone").isNull(), own).otherwise(F.array_join(left, "\n")), "n_lines": F.coalesce(F.size("lines"), F.lit(0)).cast("long"), "n_removed": F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
+    columns = [*docs.columns, *(c for c in ("n_lines", "n_removed") if c not in docs.columns)]
+    return joined.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns))
 
 
 def oracle_sql(least_sites: int = LEAST_SITES, least_words: int = LEAST_WORDS) -> str:

@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WORD, text_or_empty, written
+from .common import BLANKS, HEAVY, WORD, spread_join, text_or_empty, written
 
-#: A line that more texts of a host than this share is boilerplate there.
-MOST_TEXTS = 50
+#: A line that more documents of a host than this share is boilerplate there.
+MOST_DOCUMENTS = 50
 #: A document that loses more than this share of its words with such lines is depleted.
 MOST_LOST = 0.7
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -51,18 +51,18 @@ def repeated_words(df: DataFrame, words: str, name: str) -> DataFrame:
     return df.withColumn(name, F.aggregate(steps, F.lit(0).cast("long"), lambda t, x: t + x)).drop("_w", "_s", "_p")
 
 
-def quality_rules(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", most_texts: int = MOST_TEXTS, most_lost: float = MOST_LOST) -> DataFrame:
+def quality_rules(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source", most_documents: int = MOST_DOCUMENTS, most_lost: float = MOST_LOST) -> DataFrame:
     """One row per document: the id, host, text_hash, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed, n_lost_words, kept, lost_lines.
+    n_repeat_words, base_failed, n_lost_words, kept, n_lost_lines, lost_lines.
 
-    The method: lines are normalised and hashed, and the different texts with a line counted per
-    host (copies of a text are one text). A line in more than ``most_texts`` is removed from
-    all of them but the one with the least text hash, so its content stays once. A document that thereby
+    The method: lines are normalised and hashed, and the distinct documents with a line counted per
+    host. A line in more than ``most_documents`` is removed from all of them but those whose text has the
+    least hash among them: their content stays, as one document and its exact copies. A document that thereby
     loses more than ``most_lost`` of its words is depleted. kept is false if the base rules fail or it is depleted.
     lost_lines holds the places of the removed lines in the text split at newlines (null for none); without_lines() takes them out.
 
-    A null text has no words and fails; null hosts are one host; repeated rows are one text and
-    get equal results; other columns are not read; no rows give no rows.
+    A null text has no words and fails; null hosts are one host; repeated rows (of one id and text) are one document and
+    get equal results; texts of any length are counted whole; other columns, whatever their names, are not read; no rows give no rows.
     """
     text = text_or_empty(text_column)
     df = docs.select(F.col(id_column).alias("id"), F.col(host_column).alias("host"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
@@ -78,15 +78,19 @@ def quality_rules(docs: DataFrame, *, id_column: str = "doc_id", text_column: st
         "n_repeat_words", "hashed",
     )
     counted = written(df.withColumn("rid", F.monotonically_increasing_id()), "counted")
-    lines = counted.select("rid", "host", "th", F.explode("hashed").alias("line")).select("rid", "host", "th", "line.h", "line.n", "line.place")
-    texts = lines.select("host", "h", "th").distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("texts"), F.min("th").alias("owner"))
-    frequent = texts.filter(F.col("texts") > most_texts).select(F.col("host").alias("_host"), F.col("h").alias("_h"), "owner")
-    lost = lines.join(frequent, (F.col("h") == F.col("_h")) & F.col("host").eqNullSafe(F.col("_host"))).filter(F.col("th") != F.col("owner"))
-    lost = lost.groupBy("rid").agg(F.sum("n").alias("lost"), F.sort_array(F.collect_list("place")).alias("lost_lines"))
+    lines = counted.select("rid", "id", "th", "host", F.explode("hashed").alias("line"))
+    lines = written(lines.select("rid", "id", "th", F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit("\0")), "line.h").alias("h"), "line.n", "line.place"), "lines")
+    documents = lines.select("h", "id", "th").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("documents"), F.min("th").alias("owner"))
+    total = lines.count()
+    rows = lines.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") * HEAVY > total) | (F.col("n") > most_documents))
+    frequent = written(documents.join(rows, "h").withColumn("wanted", F.col("documents") > most_documents).drop("documents"), "frequent")
+    lost = spread_join(lines.withColumnRenamed("n", "words"), frequent, "h", total).filter(F.col("th") != F.col("owner"))
+    lost = lost.groupBy("rid").agg(F.sum("words").alias("lost"), F.sort_array(F.collect_list("place")).alias("lost_lines"))
     out = counted.drop("hashed").join(lost, "rid", "left").withColumn("n_lost_words", F.coalesce("lost", F.lit(0)).cast("long"))
+    out = out.withColumn("n_lost_lines", F.coalesce(F.size("lost_lines"), F.lit(0)).cast("long"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("n_lost_words") <= most_lost * F.col("n_words")))
-    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words", "kept", "lost_lines")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lost_words", "kept", "n_lost_lines", "lost_lines")
     return out.select(F.col("id").alias(id_column), F.col("host").alias(host_column), F.lower(F.hex("th")).alias("text_hash"), *counts)
 
 
@@ -97,7 +101,7 @@ def without_lines(text: Column, places: Column) -> Column:
     return F.when(places.isNull(), text).otherwise(F.array_join(left, "\n"))
 
 
-def oracle_sql(most_texts: int = MOST_TEXTS, most_lost: float = MOST_LOST) -> str:
+def oracle_sql(most_documents: int = MOST_DOCUMENTS, most_lost: float = MOST_LOST) -> str:
     """quality_rules of ``documents`` in DuckDB's SQL."""
     word = r"[^\x20\x09-\x0D]+"
     return f"""
@@ -114,20 +118,20 @@ WITH d AS (
 ), rep AS (
   SELECT rid, count(DISTINCT q) AS n FROM again GROUP BY rid
 ), l AS (
-  SELECT rid, source, th, unnest(ls) AS line FROM w
+  SELECT rid, doc_id, source, th, unnest(ls) AS line FROM w
 ), l2 AS (
-  SELECT rid, source, th, lower(array_to_string(regexp_extract_all(line, '{word}'), ' ')) AS x, len(regexp_extract_all(line, '{word}')) AS n FROM l
+  SELECT rid, doc_id, source, th, lower(array_to_string(regexp_extract_all(line, '{word}'), ' ')) AS x, len(regexp_extract_all(line, '{word}')) AS n FROM l
 ), f AS (
-  SELECT source, x, min(th) AS owner FROM l2 GROUP BY source, x HAVING count(DISTINCT th) > {most_texts}
+  SELECT source, x, min(th) AS owner FROM l2 GROUP BY source, x HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), '-') || ' ' || th) > {most_documents}
 ), lost AS (
-  SELECT l2.rid, sum(l2.n) AS n FROM l2 JOIN f ON l2.x = f.x AND l2.source IS NOT DISTINCT FROM f.source WHERE l2.th <> f.owner GROUP BY l2.rid
+  SELECT l2.rid, sum(l2.n) AS n, count(*) AS k FROM l2 JOIN f ON l2.x = f.x AND l2.source IS NOT DISTINCT FROM f.source WHERE l2.th <> f.owner GROUP BY l2.rid
 ), c AS (
   SELECT w.doc_id, w.source, w.th AS text_hash, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
-    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_lost_words
+    CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_lost_words, CAST(coalesce(lost.k, 0) AS BIGINT) AS n_lost_lines
   FROM w LEFT JOIN rep USING (rid) LEFT JOIN lost USING (rid)
 ), b AS (
   SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed FROM c
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND n_lost_words <= {most_lost} * n_words AS kept, n_lost_words FROM b
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND n_lost_words <= {most_lost} * n_words AS kept, n_lost_words, n_lost_lines, n_words - n_lost_words AS n_left_words FROM b
 """

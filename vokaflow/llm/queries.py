@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import line_dedup, quality
-from .common import table
+from .common import TEXTS_PER_BATCH, table, written
 
 
 def op1_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,17 +48,21 @@ def op4_cube_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash", "lost_lines")
+    ruled = quality_rules(table(spark, sf_dir, "documents")).drop("source", "text_hash", "lost_lines")
+    return ruled.withColumn("n_left_words", F.col("n_words") - F.col("n_lost_words"))
 
 
 def op6_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .telephony import decode_media, store_texts
 
-    read = decode_media(store_texts(table(spark, sf_dir, "documents")), keep_pcm=False)
-    tail = F.crc32(F.substring("payload", -64, 64))
+    # The files are stored, and all else comes from what is read back.
+    stored = written(store_texts(table(spark, sf_dir, "documents")), "media", TEXTS_PER_BATCH)
+    read = decode_media(stored)
+    digest = lambda c: F.sha2(c, 256)
+    size = lambda c: F.length(c).cast("long")
     return read.select(
-        "doc_id", "n_bytes", F.length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"), tail.alias("tail_crc32"),
-        F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature",
+        "doc_id", "n_bytes", size("payload").alias("payload_bytes"), digest("payload").alias("payload_sha256"), F.crc32(F.substring("payload", -64, 64)).alias("tail_crc32"),
+        size("media").alias("media_bytes"), digest("media").alias("media_sha256"), "feature", size("pcm").alias("pcm_bytes"), digest("pcm").alias("pcm_sha256"),
     )
 
 

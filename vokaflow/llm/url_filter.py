@@ -14,11 +14,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, written
+from .common import dropped, spread_join, union_all, written
 
 #: (verdict, host and path prefix)
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-DAMPING, ROUNDS = 0.85, 12
+DAMPING = 0.85
+#: Masses are carried on until no host can gain more than EPSILON * DAMPING / (1 - DAMPING) by what is still on its way.
+EPSILON = 1e-3
+#: So many steps of mass are summed up at a time.
+FOLDED = 8
 #: A host is blocked when its distrust reaches this and outweighs its trust. Seeds have up to 1 - DAMPING of their own,
 #: scaled here to 1. A host without blocked pages reaches it from 59 % of its links on, where those lead to fully blocked hosts.
 LEAST_DISTRUST = 0.5
@@ -44,24 +48,38 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return out
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, rounds: int = ROUNDS, shared_by: str = "src") -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = DAMPING, epsilon: float = EPSILON, shared_by: str = "src") -> DataFrame:
     """(host, mass): seed mass plus what arrives along edges (src, dst, n), weighted by n.
 
     mass = seed + damping * arriving, so a seed without links keeps exactly its own. The
-    outgoing shares of a host sum to 1, or with ``shared_by`` dst the incoming ones. ``rounds`` bounds the length of the paths that count.
+    outgoing shares of a host sum to 1, or with ``shared_by`` dst the incoming ones. What is on its way is sent on until
+    it is at most ``epsilon``: its sum, as all of it could meet in one host, or with shared incoming links its
+    greatest value, as no host can then receive more. Either shrinks by ``damping`` a step, so the steps grow
+    with the logarithm of the seeds at most.
     """
     total = edges.groupBy(shared_by).agg(F.sum("n").alias("total"))
-    shares = written(edges.join(total, shared_by).select("src", "dst", (F.col("n") / F.col("total")).alias("share")), "shares")
-    if shares.isEmpty():
-        return seeds.select("host", F.col("seed").alias("mass"))
-    mass = written(seeds.select("host", F.col("seed").alias("mass")), "mass")
-    for _ in range(rounds):
-        arriving = mass.join(shares, F.col("host") == F.col("src")).groupBy(F.col("dst").alias("host")).agg((damping * F.sum(F.col("mass") * F.col("share"))).alias("in"))
-        following = seeds.join(arriving, "host", "full").select("host", (F.coalesce("seed", F.lit(0.0)) + F.coalesce("in", F.lit(0.0))).alias("mass"))
-        following = written(following, "mass")
-        dropped(mass)
-        mass = following
-    return mass
+    shares = written(edges.join(total, shared_by).select(F.col("src").alias("host"), "dst", (F.col("n") / F.col("total")).alias("share")), "shares")
+    start = seeds.select("host", F.col("seed").alias("mass"))
+    n_edges = shares.count()
+    if not n_edges:
+        return start
+    degrees = written(shares.groupBy("host").agg(F.count(F.lit(1)).alias("n")), "degrees")
+    added = lambda tables: written(union_all(tables).groupBy("host").agg(F.sum("mass").alias("mass")), "mass")
+    left = F.sum("mass") if shared_by == "src" else F.max("mass")
+    steps = [written(start.filter("mass > 0"), "mass")]
+    while True:
+        of = degrees.join(steps[-1], "host", "left").withColumn("wanted", F.col("mass").isNotNull())
+        arriving = spread_join(shares, of, "host", n_edges).groupBy(F.col("dst").alias("host")).agg((damping * F.sum(F.col("mass") * F.col("share"))).alias("mass"))
+        steps.append(written(arriving, "step"))
+        if (steps[-1].agg(left).first()[0] or 0.0) <= epsilon:
+            break
+        if len(steps) > FOLDED:
+            folded = added(steps[:-1])
+            dropped(*steps[:-1])
+            steps = [folded, steps[-1]]
+    mass = added(steps)
+    dropped(*steps, shares, degrees)
+    return seeds.select("host").join(mass, "host", "full").select("host", F.coalesce("mass", F.lit(0.0)).alias("mass"))
 
 
 def host_edges(pages: DataFrame, *, html_column: str = "html") -> DataFrame:
@@ -71,7 +89,7 @@ def host_edges(pages: DataFrame, *, html_column: str = "html") -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def judge_urls(pages: DataFrame, *, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", rules: Sequence[tuple[str, str]] = RULES, damping: float = DAMPING, rounds: int = ROUNDS, least_distrust: float = LEAST_DISTRUST) -> DataFrame:
+def judge_urls(pages: DataFrame, *, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", rules: Sequence[tuple[str, str]] = RULES, damping: float = DAMPING, epsilon: float = EPSILON, least_distrust: float = LEAST_DISTRUST) -> DataFrame:
     """One row per page: the id, host, path, rule, verdict, trust, distrust.
 
     The longest fitting rule decides. Elsewhere the host does: the share of its pages that rules
@@ -88,9 +106,9 @@ def judge_urls(pages: DataFrame, *, id_column: str = "page_id", url_column: str
     judged = written(judged.withColumn("ruled", F.get(verdicts, F.col("_rule"))), "judged")
     share = lambda v: F.avg(F.when(F.col("ruled") == v, 1.0).otherwise(0.0))
     seeds = written(judged.filter("host <> ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked")), "seeds")
-    trust = propagate(edges, seeds.select("host", F.col("allowed").alias("seed")), damping=damping, rounds=rounds)
+    trust = propagate(edges, seeds.select("host", F.col("allowed").alias("seed")), damping=damping, epsilon=epsilon)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    distrust = propagate(back, seeds.select("host", F.col("blocked").alias("seed")), damping=damping, rounds=rounds, shared_by="dst")
+    distrust = propagate(back, seeds.select("host", F.col("blocked").alias("seed")), damping=damping, epsilon=epsilon, shared_by="dst")
     hosts = seeds.select("host").join(trust.withColumnRenamed("mass", "trust"), "host", "left").join(distrust.withColumnRenamed("mass", "distrust"), "host", "left")
     hosts = written(hosts, "hosts").withColumnRenamed("host", "_host")
     out = judged.join(hosts, F.col("host") == F.col("_host"), "left")
