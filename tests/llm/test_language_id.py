@@ -47,6 +47,20 @@ def test_posterior_equals_brute_force(spark):
     assert got[1]["lang"] == "de" and abs(got[1]["confidence"] - f.max() / f.sum()) < 1e-9
 
 
+def test_hard_rows_and_clashing_names(spark):
+    model = li.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    german = "der Hund und die Katze sind nicht im Haus "
+    rows = [(1, german, "", "h", "s", "c"), (1, german, "", "h", "s", "c"), (None, german * 20_000, None, None, None, "c"), (None, "", None, None, None, "c")]
+    names = ("t0", "hn", "q0", "cc", "p0", "f0", "h0", "row", "h", "n", "wanted", "sn", "_l0", "_e0", "_most", "_host", "a.b")
+    df = spark.createDataFrame(rows, SCHEMA).select("*", *(F.col("confidence").alias(c) for c in names))
+    out = li.identify(df, model)
+    assert out.columns == ["doc_id", "declared", "host", "suffix", *names, "text_lang", "lang", "confidence"]
+    got = out.collect()
+    assert len(got) == 4 and all(r[c] == "c" for r in got for c in names)
+    assert sum(r["lang"] == "de" for r in got) >= 3 and sum(r["doc_id"] is None for r in got) == 2
+    assert got[0]["declared"] is not None and any(r["host"] is None for r in got)
+
+
 def test_markup(spark):
     html = "<HTML class=a LANG='Fr-CA'><!-- x --><script>var a='<p>';</script><p>bon<b>jour</b>"
     row = spark.createDataFrame([(html, "m.x.co.uk:80")], "html string, host string")

@@ -70,7 +70,7 @@ def train(labelled: DataFrame, *, id_column: str = "doc_id", text_column: str =
     usable = labelled.filter(F.col(label_column).isin(*languages))
     share = min(1.0, rows / max(1, usable.count()))
     # The whole range of the hash: a share of one row in 10**12 still picks rows.
-    picked = usable.filter(F.shiftrightunsigned(F.xxhash64(id_column, text_column), 1) <= int(share * ((1 << 63) - 1)))
+    picked = usable.filter(F.shiftrightunsigned(F.xxhash64(id_column, text_column), 1) <= min((1 << 63) - 1, int(share * 2.0**63)))
     counted = picked.select(F.col(label_column).alias("lang"), text_or_empty(text_column).alias("text")).mapInArrow(_count(tuple(languages)), "lang int, slot int, n long")
     got = counted.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.ones((len(languages), BUCKETS))

@@ -112,19 +112,21 @@ def mix_sources(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
 
     size counts words (null text: 0). copies is a whole number whose mean is target / source_size;
     taken = copies * size. The same rows give the same copies however they are partitioned. Null
-    sources are one source, the last. Repeated rows are documents of their own. No rows give no rows.
+    sources are one source, the last. Repeated rows are documents of their own. Texts of any length are counted whole;
+    other columns, whatever their names, are not read; no rows give no rows.
     """
     text = text_or_empty(text_column)
     counted = size if size is not None else F.regexp_count(text, F.lit(WORD)).cast("long")
     sized = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), F.unhex(F.md5(text.cast("binary"))).alias("th"), counted.alias("size"))
-    # Copies of a row differ in nothing; a number tells them apart once it is written.
-    sized = written(sized.withColumn("rid", F.monotonically_increasing_id()), "sized")
+    # Repeated rows are told apart by their number, so they spread over chunks in the same way in every run.
+    numbered = sized.groupBy("id", "source", "th", "size").agg(F.count(F.lit(1)).alias("m")).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("m"))))
+    sized = written(numbered.drop("m").withColumn("rid", F.monotonically_increasing_id()), "sized")
     targets = source_targets(sized, weights=weights, share=share, most=most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = sized.withColumnRenamed("source", "_s").join(targets, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
     sure = F.floor(rate + _EPS)
     state = joined.withColumn("sure", sure).withColumn("p", F.greatest(rate - sure, F.lit(0.0)))
-    state = written(state.withColumn("p", F.when(F.col("p") < _EPS, 0.0).otherwise(F.col("p"))).withColumn("h", F.xxhash64("id", "th")), "state")
+    state = written(state.withColumn("p", F.when(F.col("p") < _EPS, 0.0).otherwise(F.col("p"))).withColumn("h", F.xxhash64("id", "th", "nth")), "state")
     open_ = state.filter("p > 0").select("rank", "rid", "h", "size", "p", F.ceil(F.col("n") / CHUNK).alias("m"), F.pmod("h", F.ceil(F.col("n") / CHUNK)).alias("chunk"))
     largest = targets.agg(F.max(F.ceil(F.col("n") / CHUNK))).first()[0] or 1
     done, level = [], 0

@@ -209,17 +209,17 @@ def cut_documents(docs: DataFrame, *, tokenizer: str, id_column: str = "doc_id",
     return slim.mapInArrow(_cut(tokenizer, capacity, eos, with_ids), schema).withColumnRenamed("key", id_column)
 
 
-def pack_pieces(pieces: DataFrame, *, id_column: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+def pack_pieces(pieces: DataFrame, *, id_column: str = "doc_id", capacity: int = CAPACITY, number: str | None = None) -> DataFrame:
     """Adds sequence_id and offset to rows that carry a length from 1 to ``capacity``.
 
     pieces is read twice; pass a written table. Equal lengths are ranked within about
-    sqrt(rows) cells of a hash, so no task holds all pieces of one length. Rows that are equal
-    in id, piece and checksum share a cell and get places of their own. An empty table stays empty.
+    sqrt(rows) cells of a hash, so no task holds all pieces of one length. Repeated rows get places of their own;
+    where ``number`` names a column of row numbers, they spread over the cells too. An empty table stays empty.
     """
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     runs, _ = best_fit_decreasing(counts, capacity)
     salts = max(1, int(max(counts.values(), default=1) ** 0.5))
-    salted = pieces.withColumn("_cell", F.pmod(F.xxhash64(id_column, "piece"), F.lit(salts)).cast("int"))
+    salted = pieces.withColumn("_cell", F.pmod(F.xxhash64(id_column, "piece", *([number] if number else [])), F.lit(salts)).cast("int"))
     cells = salted.groupBy("length", "_cell").agg(F.count(F.lit(1)).alias("_n"))
     before = cells.select("length", "_cell", (F.sum("_n").over(Window.partitionBy("length").orderBy("_cell")) - F.col("_n")).alias("_before"))
     ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_cell").orderBy(id_column, "piece", "start", "ids_crc32")) - 1)
@@ -246,4 +246,5 @@ def pack_documents(docs: DataFrame, *, tokenizer: str, id_column: str = "doc_id"
     their own; other columns, whatever their names, are not read; no rows give no rows.
     """
     cut = cut_documents(docs, tokenizer=tokenizer, id_column=id_column, text_column=text_column, capacity=capacity, eos=eos, with_ids=with_ids)
-    return pack_pieces(written(cut, "pieces", TEXTS_PER_BATCH), id_column=id_column, capacity=capacity)
+    pieces = written(cut.withColumn("_number", F.monotonically_increasing_id()), "pieces", TEXTS_PER_BATCH)
+    return pack_pieces(pieces, id_column=id_column, capacity=capacity, number="_number").drop("_number")
