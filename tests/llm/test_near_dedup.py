@@ -83,10 +83,10 @@ def corpus(seed=1):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize(("paired", "compared"), [(1 << 10, 1 << 18), (2, 1 << 18), (1, 20)])
-def test_classes_equal_brute_force(spark, monkeypatch, paired, compared):
+@pytest.mark.parametrize(("paired", "words"), [(1 << 10, 400_000), (1, 3000)])
+def test_classes_equal_brute_force(spark, monkeypatch, paired, words):
     monkeypatch.setattr(nd, "MOST_PAIRED", paired)
-    monkeypatch.setattr(nd, "MOST_COMPARED", compared)
+    monkeypatch.setattr(nd, "BLOCK_WORDS", words)
     docs = corpus()
     df = spark.createDataFrame([(i, t, "clash") for i, t in docs] + [(3, docs[3][1], "clash")], "doc_id long, text string, node string")
     got = nd.near_duplicate_classes(df).collect()
@@ -123,9 +123,9 @@ def test_no_rows(spark):
 
 
 def test_blocks_bring_every_open_pair_of_a_bucket_together(spark, monkeypatch):
-    monkeypatch.setattr(nd, "BLOCK", 4)
-    rows = [(7, i, 0 if i < 9 else i, 0, 21, 12) for i in range(21)]
-    got = nd._blocks(spark.createDataFrame(rows, "key long, node long, comp long, top long, n long, m long")).collect()
+    monkeypatch.setattr(nd, "BLOCK_WORDS", 40)
+    rows = [(7, i, 0 if i < 9 else i, 0, 210, 120) for i in range(21)]
+    got = nd._blocks(spark.createDataFrame(rows, "key long, node long, comp long, top long, words long, words_outside long")).collect()
     asking, asked = ({k: {r["node"] for r in got if r["key"] == k and r["asks"] == a} for k in {r["key"] for r in got}} for a in (True, False))
     assert {(x, y) for k in asking for x in asking[k] for y in asked[k]} == {(x, y) for x in range(9, 21) for y in range(21)}
     assert len(asked) > 1
@@ -146,8 +146,7 @@ def test_a_pair_in_a_large_family_below_the_threshold_is_found(spark, monkeypatc
     texts[39] = changed(texts[38], 4, "z")
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     monkeypatch.setattr(nd, "MOST_PAIRED", 0)
-    monkeypatch.setattr(nd, "MOST_COMPARED", 0)
-    monkeypatch.setattr(nd, "BLOCK", 8)
+    monkeypatch.setattr(nd, "BLOCK_WORDS", 2400)
     got = nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     by: dict = {}
     for r in got:

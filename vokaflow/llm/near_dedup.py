@@ -18,19 +18,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import TEXTS_PER_BATCH, text_or_empty, written
+from .common import HEAVY, TEXTS_PER_BATCH, dropped, spread_join, text_or_empty, written
 from .hashing import mix, runs, unit, word_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS: 0.99994 at 0.8.
 BANDS, ROWS = 32, 6
 REGISTERS = BANDS * ROWS
-#: A bucket compares the sketches of its texts outside its largest component with all its texts, if
-#: that makes no more comparisons than this, in one task; otherwise blocks of about BLOCK texts meet in a task each.
-MOST_COMPARED, BLOCK = 1 << 18, 1024
-#: From so many comparisons on a bucket's texts meet in one task, which keeps the links alone; below, pairs with alike sketches do.
-MOST_PAIRED = 1 << 10
+#: A bucket whose texts outside its largest component make more comparisons than this with all its texts compares
+#: whole texts, in blocks of about BLOCK_WORDS words that meet in a task each and leave only links; below, pairs with alike sketches meet.
+MOST_PAIRED, BLOCK_WORDS = 1 << 10, 400_000
 #: PLANES bits a register make a sketch. Registers differ in it with probability (1 - similarity) * (1 - 2**-PLANES), so
 #: at 0.8 more than MOST_APART of 192 do for one pair in some 100,000s. Totals limit a similarity too.
 PLANES, SKETCH_LONGS, MOST_APART = 4, REGISTERS // 64, 60
@@ -168,11 +167,10 @@ def _compare(key: tuple, rows: pa.Table) -> pa.Table:
 
     One text's bag is looked up in the bags of all at once, so no pair is ever made but a link.
     """
-    rows = rows.combine_chunks()
     node, comp, top = (rows.column(c).to_numpy() for c in ("node", "comp", "top"))
     asks = rows.column("asks").to_numpy(zero_copy_only=False)
     text, count, shingle = [], [], []
-    texts = rows.column("text").chunk(0)
+    texts = pa.concat_arrays([pa.array([], pa.large_string()), *rows.column("text").cast(pa.large_string()).chunks])
     for a, b in runs(texts, 1000):
         t, h, c = shingle_bags(texts.slice(a, b - a))
         text.append(t + a), shingle.append(h), count.append(c)
@@ -227,8 +225,8 @@ class _Texts:
         self.sketch = nodes.select("node", *_NUMBERS)
 
     def likely(self, pairs: DataFrame) -> DataFrame:
-        """The distinct (a, b) pairs whose sketches allow the threshold, as a written table."""
-        left = pairs.join(self.sketch.alias("x"), F.col("a") == F.col("x.node"))
+        """The distinct (a, b) pairs, a written table, whose sketches allow the threshold, as a written table."""
+        left = _with_heads(pairs, self.sketch.select(F.col("node").alias("a"), F.struct(*_NUMBERS).alias("x")))
         return written(left.join(self.sketch.alias("y"), (F.col("b") == F.col("y.node")) & _alike("x", "y")).select(*pairs.columns), "likely")
 
     def of(self, named: DataFrame) -> DataFrame:
@@ -244,27 +242,40 @@ class _Texts:
         return written(rows.groupBy("key").applyInArrow(_compare, "a long, b long").distinct(), "links")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the distinct (a, b) pairs whose overlap reaches the threshold, as a written table."""
+        """Those of the distinct (a, b) pairs, a written table, whose overlap reaches the threshold, as a written table.
+
+        A text that heads more than a HEAVY-th of the pairs is handed out in as many parts as its pairs need.
+        """
         texts = self.of(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))))
-        right = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        rows = right.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        total = pairs.count()
+        heavy = F.broadcast(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * HEAVY > total).select("a", F.ceil(F.col("n") * HEAVY / total).cast("long").alias("parts")))
+        parts = F.coalesce("parts", F.lit(1).cast("long"))
+        right = pairs.join(heavy, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).alias("part")).join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+        left = texts.withColumnsRenamed({"node": "a", "text": "text_a"}).join(heavy, "a", "left").select("a", "text_a", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+        rows = right.join(left, ["a", "part"])
         return written(rows.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long"), "links", TEXTS_PER_BATCH)
 
 
+def _with_heads(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the columns that ``of`` has for a, nulls where it has none; a may head any share of the pairs."""
+    heads = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).join(of, "a", "left").withColumn("wanted", F.lit(True))
+    return spread_join(pairs, heads, "a", pairs.count())
+
+
 def _blocks(members: DataFrame) -> DataFrame:
     """Buckets cut for compared(): each block of the texts outside the largest component with each block of all texts."""
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("long")
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("node"), blocks(n))
-    asking = members.filter("comp <> top").select("*", own("m").alias("i"), F.lit(True).alias("asks")).select("*", every("n").alias("j"))
-    asked = members.select("*", own("n").alias("j"), F.lit(False).alias("asks")).select("*", every("m").alias("i"))
+    blocks = lambda words: F.greatest(F.ceil(F.col(words) / BLOCK_WORDS).cast("long"), F.lit(1).cast("long"))
+    every = lambda words: F.explode(F.sequence(F.lit(0).cast("long"), blocks(words) - 1))
+    own = lambda words: F.pmod(F.xxhash64("node"), blocks(words))
+    asking = members.filter("comp <> top").select("*", own("words_outside").alias("i"), F.lit(True).alias("asks")).select("*", every("words").alias("j"))
+    asked = members.select("*", own("words").alias("j"), F.lit(False).alias("asks")).select("*", every("words_outside").alias("i"))
     return asking.unionByName(asked).select(F.xxhash64("key", "i", "j").alias("key"), "node", "comp", "top", "asks")
 
 
 def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs that no chain of links joins yet."""
+    """Those of the pairs, a written table, that no chain of links joins yet."""
     of = lambda side: comps.select(F.col("node").alias(side), F.col("comp").alias(f"c{side}"))
-    both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    both = _with_heads(pairs, of("a")).join(of("b"), "b", "left")
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select(*pairs.columns)
 
 
@@ -277,57 +288,62 @@ def near_duplicate_classes(docs: DataFrame, *, id_column: str = "doc_id", text_c
     class (and are kept alike); other columns are not read; no rows give no rows.
 
     Candidates: each text of a band bucket is paired with the bucket's least text. A bucket that
-    still holds several components afterwards pairs texts with alike sketches if small, compares
-    all its texts in one task if larger, and block by block over several tasks beyond that.
+    still holds several components afterwards pairs texts with alike sketches if small, and compares
+    whole texts exactly, block by block over several tasks, if larger: no pair of a bucket is left out
+    but by the sketch. Texts of any length are read whole; other columns may have any names.
     """
     text = text_or_empty(text_column)
     slim = docs.select(F.col(id_column).alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("th"), text.alias("text"))
-    kind = docs.schema[id_column].dataType.simpleString()
-    sketched = written(slim.mapInArrow(_sketch, f"id {kind}, th binary, bands binary, " + ", ".join(f"{n} long" for n in _NUMBERS)), "sketches", TEXTS_PER_BATCH)
-    nodes = sketched.groupBy("th").agg(F.min("id").alias("rep"), *(F.first(n).alias(n) for n in ("bands", *_NUMBERS)))
+    layout = T.StructType([*slim.schema.fields[:2], T.StructField("bands", T.BinaryType()), *(T.StructField(n, T.LongType()) for n in _NUMBERS)])
+    sketched = written(slim.mapInArrow(_sketch, layout), "sketches", TEXTS_PER_BATCH)
+    nodes = sketched.groupBy("th").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), *(F.first(n).alias(n) for n in ("bands", *_NUMBERS)))
     nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(F.substring("bands", i * 8 + 1, F.lit(8))))
-    keys = written(nodes.filter("bands is not null").select("node", F.posexplode(band).alias("band", "key")), "keys")
-    buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").drop("z")
-    stars = keys.join(buckets, "key").filter("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    keys = written(nodes.filter("bands is not null").select("node", F.posexplode(band).alias("band", "key")).drop("band"), "keys")
+    total = keys.count()
+    buckets = keys.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.count(F.lit(1)).alias("n"))
+    buckets = written(buckets.withColumn("wanted", F.col("a") != F.col("z")).drop("z").filter(F.col("wanted") | (F.col("n") * HEAVY > total)), "buckets")
+    members = written(spread_join(keys, buckets, "key", total), "members")
+    dropped(keys, buckets)
+    stars = written(members.filter("a <> node").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("shared")), "stars")
 
     texts = _Texts(slim, nodes)
-    stars = texts.likely(stars)
-    nearest = stars.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b")
+    likely = texts.likely(stars)
+    dropped(stars)
+    nearest = written(likely.groupBy("b").agg(F.max(F.struct("shared", (-F.col("a")).alias("a"))).alias("m")).select((-F.col("m.a")).alias("a"), "b"), "nearest")
     edges = texts.linked(nearest)
     comps = connected(edges)
     # The other heads come next: they join nearly all of a dense group before its rest is compared.
-    others = written(_across(stars.join(nearest, ["a", "b"], "left_anti").select("a", "b"), comps), "others")
+    rest = written(likely.select("a", "b").join(nearest, ["a", "b"], "left_anti"), "rest")
+    others = written(_across(rest, comps), "others")
     if not others.isEmpty():
         edges = edges.union(texts.linked(others))
         comps = connected(edges)
-    members, tested = keys.select("node", "key"), stars.select("a", "b")
-
-    def mixed(members: DataFrame) -> DataFrame:
-        """The members of buckets that hold several components, with their component, the largest one and its cost."""
-        placed = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        own = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-        several = own.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("top")).filter("top.m < n").select("key", F.col("top.comp").alias("top"), "n", (F.col("n") - F.col("top.m")).alias("m"), ((F.col("n") - F.col("top.m")) * F.col("n")).alias("compared"))
-        return placed.join(several, "key")
-
-    open_ = written(mixed(members).join(texts.sketch, "node"), "open")
-    cost = F.col("compared")
-    small, dense, large = open_.filter(cost <= MOST_PAIRED), open_.filter((cost > MOST_PAIRED) & (cost <= MOST_COMPARED)), open_.filter(cost > MOST_COMPARED)
+
+    placed = members.select("key", "node").join(nodes.select("node", "weight"), "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    placed = written(placed, "placed")
+    own = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"), F.sum("weight").alias("w"))
+    several = own.groupBy("key").agg(F.sum("m").alias("n"), F.sum("w").alias("words"), F.max(F.struct("m", "comp", "w")).alias("largest"))
+    outside = F.col("n") - F.col("largest.m")
+    several = several.select("key", "n", F.col("largest.comp").alias("top"), "words", (F.col("words") - F.col("largest.w")).alias("words_outside"), (outside * F.col("n")).alias("compared"), (outside > 0).alias("wanted"))
+    # The buckets that hold several components, with their component, the largest one and its cost.
+    open_ = written(spread_join(placed.drop("weight"), several, "key", placed.count()), "open")
+    small, large = open_.filter(F.col("compared") <= MOST_PAIRED).join(texts.sketch, "node"), open_.filter(F.col("compared") > MOST_PAIRED)
     x, y = small.filter("comp <> top").alias("x"), small.alias("y")
     across = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("y.top")) | (F.col("x.node") < F.col("y.node")))
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & across & _alike("x", "y"))
-    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    pairs = written(_across(pairs.distinct().join(tested, ["a", "b"], "left_anti"), comps), "pairs")
-    dense = dense.withColumn("asks", F.col("comp") != F.col("top"))
-    found = [f(rows) for f, rows in ((texts.linked, pairs), (texts.compared, dense), (lambda rows: texts.compared(_blocks(rows)), large)) if not rows.isEmpty()]
+    pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    pairs = written(pairs.join(likely.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    found = [f(rows) for f, rows in ((texts.linked, pairs), (lambda rows: texts.compared(_blocks(rows)), large)) if not rows.isEmpty()]
     for links in found:
         edges = edges.union(links)
     if any(not links.isEmpty() for links in found):
         comps = connected(edges)
 
-    of = nodes.select("node", "th", "rep").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    of = nodes.select("node", "th", "rep", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = of.groupBy("comp").agg(F.min(F.struct("rep", "th")).alias("m"))
-    named = written(of.join(least, "comp").select("th", F.col("m.rep").alias("class_id"), (F.col("th") == F.col("m.th")).alias("first")), "classes")
-    out = sketched.select("id", "th").join(named, "th")
+    named = of.join(least, "comp").select("th", F.col("m.rep").alias("class_id"), (F.col("th") == F.col("m.th")).alias("first"), F.col("copies").alias("n"), F.lit(True).alias("wanted"))
+    out = spread_join(sketched.select("id", "th"), written(named, "classes"), "th", sketched.count())
+    dropped(members, likely, nearest, rest, others, placed, open_, pairs)
     return out.select(F.col("id").alias(id_column), F.lower(F.hex("th")).alias("text_hash"), "class_id", (F.col("id").eqNullSafe(F.col("class_id")) & F.col("first")).alias("kept"))
