@@ -2,7 +2,9 @@ import re
 from collections import Counter, defaultdict
 
 import corpus_pipeline as cp
+import pytest
 from test_near_dedup import brute, corpus
+from vokaflow.llm import common
 from vokaflow.llm.quality import quality_rules
 
 SF = "/root/testdata/sf0.001"
@@ -50,6 +52,39 @@ def test_hard_rows(spark):
         stage(spark, docs, "").collect()
 
 
+CLASHES = ("_doc_id", "_h", "_text_hash", "row", "id", "h", "key_id", "key_h", "own_source", "copies", "copy", "lost_lines", "n_lines", "n_removed", "th", "size", "a.b")
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(i, t, "en", "ab"[i % 2], 1, f"own {i}") for i, t in corpus(3)[:60]] + [(None, None, None, None, None, "own None")]
+    docs = spark.createDataFrame(rows, SCHEMA + ", x string")
+    docs = docs.select(*docs.columns, *(docs["x"].alias(c) for c in CLASHES)).drop("x")
+    for stage in (cp.quality, cp.lines, cp.near_duplicates, cp.mixing):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[c] == f"own {r['doc_id']}" for r in got for c in CLASHES)
+    assert cp.packing(spark, docs, "").count() >= len(rows)
+
+
+def test_run_leaves_only_its_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_folder", lambda spark: str(tmp_path))
+    assert cp.run(spark, SF).count() > 0
+    left = [p.name for p in (tmp_path / "vokaflow").iterdir()]
+    assert len(left) == 1 and left[0].startswith("packing")
+
+
+def test_a_cluster_must_name_its_folder():
+    class Session:
+        conf = {}
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(Session())
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in cp.STAGES:
