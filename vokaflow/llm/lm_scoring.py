@@ -31,7 +31,7 @@ from .hashing import mix, runs, word_hashes
 #: occurrence on; a bigram (kind 2) seen once says no more than its words and is left to them.
 FLOORS, BASE = {1: 1, 2: 2}, 2.0
 #: The largest filter that is broadcast, the bits that a (n-gram, level) pair gets at least, and its probes.
-FILTER_BYTES, BITS_PER_PAIR, PROBES = 16 << 20, 8, 3
+FILTER_BYTES, BITS_PER_PAIR, PROBES = 4 << 20, 8, 3
 #: The most frequent words whose exact counts are broadcast: 16 bytes each.
 DICTIONARY_WORDS = 1 << 19
 #: The word estimate counts like so many tokens of the context (a Dirichlet prior).
