@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import casefold
+from .text import bound, casefold
 
 #: The letters whose rows are counted.
 TARGET_CHARACTERS = ("ç", "ş", "ğ", "ü", "ö", "ı")
@@ -39,6 +40,12 @@ def has_term(text: Column | str, term: str) -> Column:
 
 
 def matched(text: Column | str, terms: Sequence[str]) -> Column:
-    """The terms a text has, in the order given."""
-    found = F.array(*(F.when(has_term(text, t), F.lit(t)) for t in terms)) if terms else F.array().cast("array<string>")
-    return F.filter(found, lambda t: t.isNotNull())
+    """The terms a text has, in the order given; the text is folded once."""
+    if not terms:
+        return F.array().cast("array<string>")
+    return bound(casefold(text), lambda t: F.filter(F.array(*(F.when(F.contains(t, F.lit(x.casefold())), F.lit(x)) for x in terms)), lambda x: x.isNotNull()))
+
+
+def has_any_term(text: Column | str, terms: Sequence[str]) -> Column:
+    """Whether a text has one of the terms; folded once."""
+    return bound(casefold(text), lambda t: reduce(Column.__or__, (F.contains(t, F.lit(x.casefold())) for x in terms), F.lit(False)))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import DIGIT, LEFT, RIGHT, SPACE, bound
+from .text import DIGIT, FENCES, LEFT, RIGHT, SPACE, bound, replace_matches
 
 #: The words of numbers.
 ONES = ("", "bir", "iki", "üç", "dört", "beş", "altı", "yedi", "sekiz", "dokuz")
@@ -23,7 +23,6 @@ ZERO, MINUS, HUNDRED, THOUSAND, MILLION, BILLION, TRILLION, COMMA, PERCENT = "s
 #: The ordinal suffix after each last vowel.
 ORDINAL = {"a": "ıncı", "ı": "ıncı", "e": "inci", "i": "inci", "o": "uncu", "u": "uncu", "ö": "üncü", "ü": "üncü"}
 
-_OPEN, _CLOSE = "", ""
 
 
 def _list(words: Sequence[str]) -> Column:
@@ -81,14 +80,6 @@ def ordinal_words(n: Column | str) -> Column:
     return bound(number_words(n), lambda w: F.concat(w, ordinal_suffix(w)))
 
 
-def replace_matches(text: Column, pattern: str, function: Callable[[Column], Column]) -> Column:
-    """Each match of the pattern replaced by function(match): matches are fenced by two private
-    characters, split off, and every other piece is mapped."""
-    fenced = F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}")
-    pieces = F.transform(F.split(fenced, f"[{_OPEN}{_CLOSE}]"), lambda x, i: F.when(i % 2 == 1, function(x)).otherwise(x))
-    return F.array_join(pieces, "")
-
-
 def _only_digits(c: Column) -> Column:
     return F.regexp_replace(c, rf"[^{DIGIT}]", "")
 
@@ -114,5 +105,5 @@ PASSES: tuple[tuple[str, Callable[[Column], Column]], ...] = (
 
 def normalize_numbers(c: Column | str) -> Column:
     """Numbers in running text as words. The two private fence characters leave the text first."""
-    clean = F.translate(F.col(c) if isinstance(c, str) else c, _OPEN + _CLOSE, "")
+    clean = F.translate(F.col(c) if isinstance(c, str) else c, FENCES, "")
     return bound(clean, lambda t: F.when(t.rlike(DIGIT), reduce(lambda x, p: replace_matches(x, *p), PASSES, t)).otherwise(t))

@@ -21,6 +21,8 @@ SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 SOLID = r"[^\s\x1c-\x1f\x85\p{Z}]"
 LEFT, RIGHT = rf"(?<!{WORD})", rf"(?!{WORD})"
 
+#: Two private characters that stand around a match while it is replaced.
+FENCES = ""
 #: Abbreviations and what they are read as.
 ABBREVIATIONS = {
     "Dr.": "doktor", "Prof.": "profesör", "Doç.": "doçent", "Sn.": "sayın", "No.": "numara", "vs.": "vesaire", "vb.": "ve benzeri", "vd.": "ve diğerleri",
@@ -100,16 +102,34 @@ def normalize_punctuation(c: Column | str) -> Column:
     return plain_punctuation(nfc(c))
 
 
+def replace_matches(text: Column, pattern: str, function: Callable[[Column], Column]) -> Column:
+    """Each match of the pattern replaced by function(match): matches are fenced by two private
+    characters, split off, and every other piece is mapped."""
+    fenced = F.regexp_replace(text, pattern, f"{FENCES[0]}$0{FENCES[1]}")
+    pieces = F.transform(F.split(fenced, f"[{FENCES}]"), lambda x, i: F.when(i % 2 == 1, function(x)).otherwise(x))
+    return F.array_join(pieces, "")
+
+
 def _escaped(word: str) -> str:
     return word.replace(".", r"\.")
 
 
 def normalize_abbreviations(c: Column | str) -> Column:
-    """Longest first; one that ends in a period needs a boundary on its left only."""
+    """Longest first; one that ends in a period needs a boundary on its left only.
+
+    All are found in one pass and looked up. That equals replacing them one after the other, as no reading holds an
+    abbreviation as a word and all begin and end in letters, unless a period abbreviation is glued to a letter or
+    number behind it; such rare texts, and those with the fences, go through them one by one.
+    """
     order = sorted(ABBREVIATIONS, key=len, reverse=True)
-    pattern = {a: LEFT + _escaped(a) + (RIGHT if a[-1].isalpha() else "") for a in order}
-    expand = lambda t: reduce(lambda x, a: F.regexp_replace(x, pattern[a], ABBREVIATIONS[a]), order, t)
-    return bound(_col(c), lambda t: F.when(t.rlike("|".join(pattern.values())), expand(t)).otherwise(t))
+    dotted, plain = ([a for a in order if a[-1].isalpha() == k] for k in (False, True))
+    any_of = lambda words: "(?:" + "|".join(map(_escaped, words)) + ")"
+    pattern = f"{LEFT}(?:{any_of(dotted)}|{any_of(plain)}{RIGHT})"
+    glued = f"{any_of(dotted)}{WORD}|[{FENCES}]"
+    names = F.create_map(*(F.lit(x) for kv in ABBREVIATIONS.items() for x in kv))
+    at_once = lambda t: replace_matches(t, pattern, lambda m: names[m])
+    each = lambda t: reduce(lambda x, a: F.regexp_replace(x, LEFT + _escaped(a) + (RIGHT if a[-1].isalpha() else ""), ABBREVIATIONS[a]), order, t)
+    return bound(_col(c), lambda t: F.when(t.rlike(pattern), F.when(t.rlike(glued), each(t)).otherwise(at_once(t))).otherwise(t))
 
 
 def word_count(c: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vokaflow.functions.signal import clamp, rate, score_ceiling, score_range
-from vokaflow.functions.text import strip, word_count
+from vokaflow.functions.text import bound, strip, word_count
 
 STATUSES = ("keep", "suspicious", "reject")
 #: Reasons that reject a row by themselves.
@@ -76,9 +76,14 @@ def audit_status(reasons: Column, score: Column) -> Column:
 
 
 def with_text_stats(rows: DataFrame) -> DataFrame:
-    """Adds text_length, word_count, chars_per_sec, words_per_sec of the stripped text; a null text is empty."""
-    text = F.coalesce(strip("text"), F.lit(""))
-    rows = rows.withColumn("text", text).withColumns({"text_length": F.length("text"), "word_count": word_count("text")})
+    """Adds text_length, word_count, chars_per_sec, words_per_sec of the stripped text; a null text is empty.
+
+    The text is stripped and counted below an explode of one struct, which no filter on what follows can cross: it is done once.
+    """
+    stats = bound(F.coalesce(strip("text"), F.lit("")), lambda t: F.struct(t.alias("text"), F.length(t).alias("text_length"), word_count(t).alias("word_count")))
+    columns = [c for c in rows.columns if c not in ("text_length", "word_count")]
+    rows = rows.select(*(F.col(c) for c in columns if c != "text"), F.explode(F.array(stats)).alias("_stats"))
+    rows = rows.select(*(F.col("_stats.text") if c == "text" else F.col(c) for c in columns), "_stats.text_length", "_stats.word_count")
     return rows.withColumns({"chars_per_sec": rate(F.col("text_length"), F.col("audio_duration_sec")), "words_per_sec": rate(F.col("word_count"), F.col("audio_duration_sec"))})
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vokaflow.functions.match import has_term
+from vokaflow.functions.match import has_any_term, matched
 
 BAD_BUCKET, MIN_RETENTION = "bad_or_reject_like", 0.80
 #: Reasons that exclude in every mode, and the relaxed limits with their reasons.
@@ -108,8 +108,9 @@ def unmatched_keys(manifest: DataFrame, paths: DataFrame, lines: DataFrame) -> D
 
 def term_hits(rows: DataFrame, terms: Sequence[str], name: str) -> DataFrame:
     """(term, name) rows with each term, terms without rows too: one pass, no explosion of texts."""
-    counts = F.array(*(F.struct(F.lit(t).alias("term"), F.count_if(has_term("text", t)).alias(name)) for t in terms))
-    return rows.agg(counts.alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    found = rows.select(F.explode(F.array(matched("text", terms))).alias("found"))  # below the explode, so texts are folded once
+    counts = F.array(*(F.struct(F.lit(t).alias("term"), F.count_if(F.array_contains("found", t)).alias(name)) for t in terms))
+    return found.agg(counts.alias("c")).select(F.explode("c").alias("c")).select("c.*")
 
 
 def term_retention(before: DataFrame, after: DataFrame, terms: Sequence[str], least: float = MIN_RETENTION) -> DataFrame:
@@ -126,9 +127,7 @@ def target_candidates(manifest: DataFrame, buckets: DataFrame, terms: Sequence[s
         named.filter(F.col("bucket").isin(*names)).select(line_key().alias("line_no")).filter("line_no is not null").distinct(),
     )
     out = flag_fallback(flag_fallback(manifest, *keys(exclude), "excluded"), *keys(eligible), "candidate")
-    hit = F.lit(False)
-    for t in terms:
-        hit = hit | has_term("text", t)
+    hit = has_any_term("text", terms)
     return out.withColumn("candidate", ~F.col("excluded") & F.col("candidate") & hit)
 
 
