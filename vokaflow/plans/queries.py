@@ -86,11 +86,6 @@ def alias_coalesce(spark, d):
     return rows.select("doc_id", text.first_filled("text", "sentence", "normalized_text").alias("value"))
 
 
-@query()
-def manifest_prepare(spark, d):
-    return manifest.prepare_manifest(_manifest(spark, d), max_duration=5000.0, keep=("line_no", "split"))
-
-
 @query(f"SELECT line_no, duration FROM {M} WHERE duration BETWEEN 0.5 AND 20")
 def duration_filter(spark, d):
     return _manifest(spark, d).filter(F.col("duration").between(manifest.MIN_DURATION, manifest.MAX_DURATION)).select("line_no", "duration")
@@ -173,6 +168,58 @@ def _sql_abbreviations(c: str) -> str:
     return c
 
 
+def _sql_words(n: str) -> str:
+    """Words of a whole number below 10**12, from lists."""
+    ones, tens = (lambda k, names="|".join(names): f"split_part('{names}', '|', CAST({k} + 1 AS INTEGER))" for names in (numbers.ONES, numbers.TENS))
+    below = lambda x: f"concat_ws(' ', CASE WHEN {x} // 100 = 1 THEN 'yüz' WHEN {x} >= 200 THEN {ones(f'{x} // 100')} || ' yüz' END, nullif({tens(f'{x} // 10 % 10')}, ''), nullif({ones(f'{x} % 10')}, ''))"
+    group = lambda p: f"({n} // {p} % 1000)"
+    large = ", ".join(f"CASE WHEN {group(p)} > 0 THEN {below(group(p))} || ' {name}' END" for p, name in ((10**9, "milyar"), (10**6, "milyon")))
+    thousand = f"CASE WHEN {group(1000)} = 1 THEN 'bin' WHEN {group(1000)} > 1 THEN {below(group(1000))} || ' bin' END"
+    return f"CASE WHEN {n} = 0 THEN 'sıfır' ELSE concat_ws(' ', {large}, {thousand}, CASE WHEN {group(1)} > 0 THEN {below(group(1))} END) END"
+
+
+def _sql_long_words(n: str) -> str:
+    """Words of a whole number of 18 digits at most: trillions are counted like numbers of their own."""
+    low, high = "(n % 1000000000000)", "(n // 1000000000000)"
+    of = lambda x: f"list_transform([{x}], lambda n: {_sql_words('n')})[1]"
+    large = f"concat_ws(' ', CASE WHEN {high} > 0 THEN {of(high)} || ' trilyon' END, CASE WHEN {low} > 0 THEN {of(low)} END)"
+    return f"list_transform([CAST({n} AS BIGINT)], lambda n: CASE WHEN n < 1000000000000 THEN {_sql_words('n')} ELSE {large} END)[1]"
+
+
+def _sql_numbers(c: str) -> str:
+    """Each pass fences its matches, and again between them as a match takes its boundaries, splits at the fences and maps every other piece."""
+    o, z = text.FENCES
+    edge = rf"[^\p{{L}}\p{{N}}_{o}{z}]"
+    digits = lambda x: f"regexp_replace({x}, '[^0-9]', '', 'g')"
+    plain = lambda x: _sql_long_words(digits(x))
+    decimal = lambda x: f"{plain(f'split_part({x}, {chr(39)},{chr(39)}, 1)')} || ' virgül ' || {plain(f'split_part({x}, {chr(39)},{chr(39)}, 2)')}"
+    ordinal = lambda x: f"list_transform([{plain(x)}], lambda w: w || {_SQL_SUFFIX.format(v='regexp_extract(w, {0}.*([aıeioöuü]){0}, 1)'.format(chr(39)))})[1]"
+    passes = (
+        ("()", rf"%{SP}*[0-9]+", "()", lambda x: f"'yüzde ' || {plain(x)}"), (f"(^|{edge})", r"[0-9]{1,3}(?:\.[0-9]{3})+,[0-9]+", f"($|{edge})", decimal), (f"(^|{edge})", r"[0-9]{1,3}(?:\.[0-9]{3})+", f"($|{edge})", plain),
+        (f"(^|{edge})", "[0-9]+,[0-9]+", f"($|{edge})", decimal), (f"(^|{edge})", r"[0-9]+\.", r"([ \t])", ordinal), (f"(^|{edge})", "[0-9]+", f"($|{edge})", plain),
+    )
+    c = f"translate({c}, '{o}{z}', '')"
+    for left, pattern, right, words in passes:
+        fenced = lambda x: f"regexp_replace({x}, '{left}({pattern}){right}', '\\1{o}\\2{o}\\3', 'g')"  # noqa: B023, E731
+        pieces = lambda x, found, rest: f"list_aggregate(list_transform(string_split({x}, '{o}'), lambda x, i: CASE WHEN i % 2 = 0 THEN {found} ELSE {rest} END), 'string_agg', '')"
+        c = pieces(pieces(fenced(c), f"'{o}' || x || '{o}'", fenced("x")), words("x"), "x")
+    return c
+
+
+_SQL_SUFFIX = "CASE WHEN {v} IN ('a', 'ı') THEN 'ıncı' WHEN {v} IN ('o', 'u') THEN 'uncu' WHEN {v} IN ('ö', 'ü') THEN 'üncü' ELSE 'inci' END"
+
+
+def _sql_markup(c: str) -> str:
+    for pattern in ("<[^>]+>", rf"https?://{SOLID}+|www\.{SOLID}+", rf"{SOLID}+@{SOLID}+\.[a-zA-Z]{{2,}}", f"@{_W}+", f"#{_W}+"):
+        c = f"regexp_replace({c}, '{pattern}', ' ', 'g')"
+    return c
+
+
+def _sql_normalized(c: str) -> str:
+    """A whole text by way of every step; the punctuation step composes too."""
+    return _sql_numbers(_sql_abbreviations(_SQL_PLAIN.format(c=_sql_markup(c))))
+
+
 _scalar("strip_html", "pages", "page_id", "html", text.strip_html, "regexp_replace({c}, '<[^>]+>', ' ', 'g')")
 _scalar("strip_urls", "pages", "page_id", "url", text.strip_urls, _b(f"regexp_replace(url, 'https?://{SOLID}+|www\\.{SOLID}+', ' ', 'g')"))
 _scalar("strip_emails", "documents", "doc_id", "text", text.strip_emails, _b(f"regexp_replace(text, '{SOLID}+@{SOLID}+\\.[a-zA-Z]{{2,}}', ' ', 'g')"))
@@ -181,8 +228,8 @@ _scalar("strip_hashtags", "documents", "doc_id", "text", text.strip_hashtags, _b
 _scalar("nfc", "documents", "doc_id", "text", text.nfc, "nfc_normalize({c})")
 _scalar("normalize_punctuation", "documents", "doc_id", "text", text.normalize_punctuation, _SQL_PLAIN)
 _scalar("normalize_abbreviations", "documents", "doc_id", "text", text.normalize_abbreviations, _b(_sql_abbreviations("text")))
-_scalar("normalize_numbers", "documents", "doc_id", "text", numbers.normalize_numbers, None)
-_scalar("normalize_text", "documents", "doc_id", "text", normalize_text, None)
+_scalar("normalize_numbers", "documents", "doc_id", "text", numbers.normalize_numbers, _b(_sql_numbers("text")))
+_scalar("normalize_text", "documents", "doc_id", "text", normalize_text, _b(_sql_normalized("text")))
 _scalar("casefold_text", "documents", "doc_id", "text", text.casefold, "translate(replace(lower(replace({c}, 'İ', 'i̇')), 'ß', 'ss'), 'ς', 'σ')")
 
 
@@ -201,16 +248,6 @@ def codepoints(spark, d):
 # --- number words
 
 
-def _sql_words(n: str) -> str:
-    """Words of a whole number below 10**12, from lists."""
-    ones, tens = ("[" + ", ".join(f"'{w}'" for w in words) + "]" for words in (numbers.ONES, numbers.TENS))
-    below = lambda x: f"concat_ws(' ', CASE WHEN {x} // 100 = 1 THEN 'yüz' WHEN {x} >= 200 THEN ({ones})[{x} // 100 + 1] || ' yüz' END, nullif(({tens})[{x} // 10 % 10 + 1], ''), nullif(({ones})[{x} % 10 + 1], ''))"
-    group = lambda p: f"({n} // {p} % 1000)"
-    large = ", ".join(f"CASE WHEN {group(p)} > 0 THEN {below(group(p))} || ' {name}' END" for p, name in ((10**9, "milyar"), (10**6, "milyon")))
-    thousand = f"CASE WHEN {group(1000)} = 1 THEN 'bin' WHEN {group(1000)} > 1 THEN {below(group(1000))} || ' bin' END"
-    return f"CASE WHEN {n} = 0 THEN 'sıfır' ELSE concat_ws(' ', {large}, {thousand}, CASE WHEN {group(1)} > 0 THEN {below(group(1))} END) END"
-
-
 _N = "SELECT o_orderkey AS n FROM orders UNION SELECT o_orderkey * 7919 FROM orders UNION SELECT CAST(p_size AS BIGINT) FROM part UNION SELECT CAST(l_linenumber AS BIGINT) * 1000 FROM lineitem"
 
 
@@ -263,6 +300,17 @@ def symbol_inventory(spark, d):
     return manifest.symbol_inventory(_table(spark, d, "conversations").select(phonemes.phonemize("text").alias("phonemes")))
 
 
+_STRIPPED = f"regexp_replace(regexp_replace(text, '^{SP}+', ''), '{SP}+$', '')"
+
+
+@query(f"""SELECT line_no, split, audio_filepath, text, normalized_text, phonemes, round_even(duration, 4) AS duration, speaker_id FROM (
+ SELECT *, array_to_string({_PHONES.replace("(text,", "(normalized_text,")}, ' ') AS phonemes FROM (
+  SELECT line_no, split, audio_filepath, duration, speaker_id, {_STRIPPED} AS text, {_sql_normalized(_STRIPPED)} AS normalized_text FROM {M} WHERE duration BETWEEN 0.5 AND 5000 AND regexp_matches(text, '{SOLID}')))
+ WHERE regexp_matches(normalized_text, '{SOLID}') AND regexp_matches(phonemes, '{SOLID}')""")
+def manifest_prepare(spark, d):
+    return manifest.prepare_manifest(_manifest(spark, d), max_duration=5000.0, keep=("line_no", "split"))
+
+
 # --- audit
 
 _CLAMP = "greatest(0e0, least(1e0, {0}))".format
