@@ -1,5 +1,7 @@
 """Goldens and derived edge cases of normalization, numbers and phonemes."""
 
+import random
+import re
 import unicodedata
 
 import pytest
@@ -88,3 +90,18 @@ def test_words_and_blanks(spark):
     assert one(spark, text.word_count, values) == [len(v.split()) for v in values]
     assert one(spark, text.strip, values) == [v.strip() for v in values]
     assert one(spark, text.nfc, ["é", None]) == [unicodedata.normalize("NFC", "é"), None]
+
+
+def test_abbreviations_at_once_equal_one_after_the_other(spark):
+    order = sorted(text.ABBREVIATIONS, key=len, reverse=True)
+
+    def one_by_one(t):
+        for a in order:
+            t = re.sub(rf"\b{re.escape(a)}" + (r"\b" if a[-1].isalpha() else ""), text.ABBREVIATIONS[a], t)
+        return t
+
+    rng = random.Random(9)
+    parts = [*text.ABBREVIATIONS, "x", "5", "²", "_", " ", " ", ".", ",", "é", "Prof", "(", "doktor", text.FENCES[0]]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalize_abbreviations("t").alias("v")).collect()
+    assert all(r["v"] == one_by_one(r["t"]) for r in got)

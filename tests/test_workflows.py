@@ -275,3 +275,25 @@ def test_a_literal_stem_that_meets_a_made_up_one_goes_through_the_ordered_pass(s
 
     assert stems("a/x.wav", "b/x.wav", "c/x_2.wav", "c/x_2.wav", "a/y.wav", "b/y.wav") == ["x", "x_2", "x_2_2", "x_2_3", "y", "y_2"]
     assert stems("c/x_2.wav", "a/x.wav", "b/x.wav", "a/x.wav", "b/x.wav") == ["x_2", "x", "x_3", "x", "x_4"]
+
+
+def test_audit_filter_and_layout_commands(spark, tmp_path):
+    for name, lead in (("a", 0.0), ("b", 0.6)):
+        wav(tmp_path / f"{name}.wav", tone(2.0, lead))
+    rows = [{"audio_filepath": f"{x}.wav", "text": "Bugün hava çok güzel.", "normalized_text": "", "phonemes": "a", "duration": 2.0, "speaker_id": "s"} for x in "ab"]
+    path = jsonl(tmp_path / "train.jsonl", [*rows, ""])
+    assert cli.main(["audit", path, str(tmp_path / "audit")], spark) == 0
+    assert cli.main(["filter", path, str(tmp_path / "audit" / "audit.csv"), str(tmp_path / "strict"), "--mode", "strict"], spark) == 0
+    assert lines(tmp_path / "strict") == [json.dumps(rows[0], ensure_ascii=False)]
+    assert workflows.filter_file(spark, path, str(tmp_path / "audit" / "audit.csv"), "suspicious", str(tmp_path / "s")) == {"mode": "suspicious", "kept": 1, "total": 2, "dropped": 1}
+    full = [r | {"audio_filepath": str(tmp_path / r["audio_filepath"])} for r in rows]
+    jsonl(tmp_path / "train.jsonl", full)
+    assert cli.main(["export", str(tmp_path), str(tmp_path / "layout")], spark) == 0
+    assert sorted(p.name for p in (tmp_path / "layout" / "wavs").iterdir()) == ["a.wav", "b.wav"]
+    assert (tmp_path / "layout" / "wavs" / "a.wav").read_bytes() == (tmp_path / "a.wav").read_bytes()
+    assert cli.main(["validate-export", str(tmp_path / "layout")], spark) == 0
+    (tmp_path / "layout" / "wavs" / "a.wav").unlink()
+    assert workflows.validate_layout(spark, str(tmp_path / "layout")) == (1, ["metadata.csv line 1: wavs/a.wav not found"])
+    assert workflows.validate_layout(spark, str(tmp_path / "none")) == (0, ["missing: metadata.csv", "missing: config.json", "missing: wavs/ directory"])
+    assert cli.main(["terms", path, str(tmp_path / "terms"), "--terms", "hava", "--jsonl"], spark) == 0
+    assert [json.loads(x)["matched_terms"] for x in lines(tmp_path / "terms" / "terms.jsonl")] == ["hava", "hava"]

@@ -1,4 +1,4 @@
-"""Commands: normalize, phonemize, prepare, validate, clean, filter, terms, exclude, oversample, export."""
+"""Commands: normalize, phonemize, prepare, validate, audit, clean, filter, terms, exclude, oversample, export, validate-export."""
 
 from __future__ import annotations
 
@@ -36,11 +36,15 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--skip-audio", action="store_true")
     p.add_argument("--min-duration", type=float, default=MIN_DURATION)
     p.add_argument("--max-duration", type=float, default=MAX_DURATION)
-    p = add("clean", "manifest", "out")
-    for f in fields(AuditThresholds):
-        p.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
+    for command in ("audit", "clean"):
+        p = add(command, "manifest", "out")
+        for f in fields(AuditThresholds):
+            p.add_argument("--" + f.name.replace("_", "-"), type=type(f.default), default=f.default)
+    p = add("filter", "manifest", "audit", "out")
+    p.add_argument("--mode", choices=("strict", "balanced", "rejects", "suspicious"), required=True)
     p = add("terms", "manifest", "out")
     p.add_argument("--terms", required=True)
+    p.add_argument("--jsonl", action="store_true")
     p = add("exclude", "manifest", "buckets", "out")
     p.add_argument("--mode", choices=EXCLUSION_MODES, default=EXCLUSION_MODES[0])
     p.add_argument("--protect-terms", default="")
@@ -55,6 +59,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--limit", type=int)
     p.add_argument("--sample-rate", type=int, default=SAMPLE_RATE)
     p.add_argument("--language", default=LANGUAGE)
+    p.add_argument("--no-audio", action="store_true")
+    add("validate-export", "folder")
     return parser
 
 
@@ -73,14 +79,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif a.command == "clean":
         for r in workflows.clean(spark, a.manifest, a.out, AuditThresholds(**{f.name: getattr(a, f.name) for f in fields(AuditThresholds)})).values():
             print(r)
+    elif a.command == "audit":
+        print(f"{workflows.audit_manifest(spark, a.manifest, a.out, AuditThresholds(**{f.name: getattr(a, f.name) for f in fields(AuditThresholds)})).count()} rows")
+    elif a.command == "filter":
+        print(workflows.filter_file(spark, a.manifest, a.audit, a.mode, a.out))
+    elif a.command == "validate-export":
+        valid, errors = workflows.validate_layout(spark, a.folder)
+        print("\n".join([*errors, f"{valid} valid, {len(errors)} errors"]))
+        return int(bool(errors))
     elif a.command == "terms":
-        print(f"{workflows.audit_terms(spark, a.manifest, parse_terms(a.terms, required=True), a.out).count()} rows")
+        print(f"{workflows.audit_terms(spark, a.manifest, parse_terms(a.terms, required=True), a.out, jsonl=a.jsonl).count()} rows")
     elif a.command == "exclude":
         print(workflows.build_excluded(spark, a.manifest, a.buckets, a.out, mode=a.mode, protect=parse_terms(a.protect_terms), least=a.min_protected_retention))
     elif a.command == "oversample":
         print(workflows.build_oversampled(spark, a.manifest, a.buckets, a.out, mode=a.mode, terms=parse_terms(a.target_terms), quality=a.min_target_quality, most_repeats=a.max_target_repeat, most_rows=a.max_output_rows))
     elif a.command == "export":
-        workflows.export_layout(spark, a.folder, a.out, limit=a.limit, sample_rate=a.sample_rate, language=a.language)
+        workflows.export_layout(spark, a.folder, a.out, limit=a.limit, sample_rate=a.sample_rate, language=a.language, link_audio=not a.no_audio)
     return 0
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
+import shutil
+import sys
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -120,3 +123,28 @@ def validate_metadata(lines: DataFrame, wav_stems: DataFrame) -> DataFrame:
     there = wav_stems.select(F.col("stem").alias("_stem"), F.lit(True).alias("_there")).distinct()
     joined = keyed.join(there, "_stem", "left")
     return joined.select("line_no", metadata_error(F.coalesce("_there", F.lit(False))).alias("error")).filter("error is not null")
+
+
+def link_files(folder: str):
+    """For foreachPartition over (audio_filepath, stem): each file linked, else copied, as folder/stem.wav; what is there stays.
+
+    The folder is one that all executors mount. A file that can be neither linked nor copied is named on standard error.
+    """
+
+    def run(rows) -> None:
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            target = f"{folder}/{r['stem']}.wav"
+            if not r["audio_filepath"] or os.path.lexists(target):
+                continue
+            try:
+                os.symlink(os.path.abspath(r["audio_filepath"]), target)
+            except FileExistsError:  # another attempt of this task was first
+                continue
+            except OSError:
+                try:
+                    shutil.copy2(r["audio_filepath"], target)
+                except OSError as e:
+                    print(f"cannot link or copy {target}: {e}", file=sys.stderr)
+
+    return run

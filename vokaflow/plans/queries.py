@@ -6,6 +6,8 @@ metrics and buckets by arithmetic on ids. Figures derived from them measure noth
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -15,7 +17,10 @@ from pyspark.sql import functions as F
 from vokaflow.functions import match, numbers, phonemes, signal, text
 from vokaflow.functions.normalize import normalize_text
 from vokaflow.operators import audit, curate, export, manifest
-from vokaflow.sources.manifest import parse_manifest
+from vokaflow import sinks
+from vokaflow.sources import audio
+from vokaflow.sources.manifest import MANIFEST_SCHEMA, config_summary, numbered_lines, parse_manifest, read_audit, read_buckets, read_manifest, read_metadata, resolved
+from vokaflow.streaming import milestones
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -621,6 +626,113 @@ def split_limit(spark, d):
     return export.cap_splits(_manifest(spark, d).select("line_no", "split"), 100)
 
 
+# --- sources and sinks: what is written is read back
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder where the session keeps checkpoints; a temporary one only for a local session without."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{(base or tempfile.mkdtemp(prefix='vokaflow-')).rstrip('/')}/vokaflow/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT line_no, audio_filepath, text, duration, speaker_id FROM {M}")
+def manifest_sink(spark, d):
+    path = _folder(spark, "manifest")
+    sinks.write_jsonl(_manifest(spark, d).select("line_no", "audio_filepath", "text", "duration", "speaker_id"), ["line_no"], path)
+    return read_manifest(spark, path, MANIFEST_SCHEMA, "fail").select("line_no", "audio_filepath", "text", "duration", "speaker_id")
+
+
+@query("SELECT row_number() OVER (ORDER BY doc_id) AS line_no, concat(CAST(doc_id AS STRING), ' | ', source, ' é ') AS value FROM documents WHERE doc_id % 3 = 0")
+def raw_line_sink(spark, d):
+    path = _folder(spark, "lines")
+    rows = _table(spark, d, "documents").filter("doc_id % 3 = 0").selectExpr("doc_id", "concat(CAST(doc_id AS STRING), ' | ', source, ' é ') AS value")
+    sinks.write_lines(rows, "value", ["doc_id"], path)
+    return numbered_lines(spark, path)
+
+
+@query(f"SELECT manifest_line, t AS text, quality_score, status, array_to_string(reasons, ';') AS reasons FROM ({_AUDITED}) WHERE status = 'suspicious'")
+def audit_csv_sink(spark, d):
+    path = _folder(spark, "audit")
+    sinks.write_audit(_audited(spark, d), path, "suspicious")
+    return read_audit(spark, path).select(F.col("manifest_line").cast("long").alias("manifest_line"), "text", "quality_score", "status", F.array_join("reasons", ";").alias("reasons"))
+
+
+@query(f"SELECT line_no, nullif(audio_filepath, '') AS audio_filepath, bucket, nullif(bucket_reasons, '') AS bucket_reasons, low_energy_ratio FROM {B}")
+def bucket_csv_scan(spark, d):
+    path = _folder(spark, "buckets")
+    sinks.write_csv(_buckets(spark, d), ["audio_filepath", "line_no"], path)
+    return read_buckets(spark, path).select("line_no", "audio_filepath", "bucket", "bucket_reasons", "low_energy_ratio")
+
+
+@query("SELECT row_number() OVER (ORDER BY doc_id) AS line_no, CAST(doc_id AS STRING) AS stem, CASE WHEN doc_id % 2 = 0 THEN source END AS speaker, concat('\"', lang, '\" words') AS text FROM documents")
+def pipe_metadata_scan(spark, d):
+    path = _folder(spark, "metadata")
+    line = "concat_ws('|', CAST(doc_id AS STRING), CASE WHEN doc_id % 2 = 0 THEN source END, concat('\"', lang, '\" words')) AS value"
+    sinks.write_lines(_table(spark, d, "documents").selectExpr("doc_id", line), "value", ["doc_id"], path)
+    return read_metadata(spark, path)
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 5 > 0 THEN doc_id % 4 END AS n_map, CASE WHEN doc_id % 5 > 0 THEN 100 + doc_id END AS num_symbols, CASE WHEN doc_id % 5 > 0 THEN 22050 END AS sample_rate, CASE WHEN doc_id % 5 > 0 THEN lang END AS voice FROM documents")
+def config_probe(spark, d):
+    ids = "map_from_entries(transform(slice(sequence(1, 4), 1, CAST(doc_id % 4 AS INT)), x -> struct(CAST(x AS STRING) AS key, array(x) AS value)))"
+    json = f"CASE WHEN doc_id % 5 = 0 THEN '{{no json' ELSE to_json(named_struct('num_symbols', 100 + doc_id, 'audio', named_struct('sample_rate', 22050), 'espeak', named_struct('voice', lang), 'phoneme_id_map', {ids})) END AS value"
+    rows = _table(spark, d, "documents").selectExpr("doc_id", json).withColumn("c", config_summary("value"))
+    return rows.select("doc_id", *(F.col(f"c.{n}").cast("long").alias(n) for n in ("n_map", "num_symbols", "sample_rate")), "c.voice")
+
+
+@query("SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '/data/b/' WHEN 1 THEN '/' WHEN 2 THEN '../x/' ELSE '' END || CAST(doc_id AS STRING) || '.wav' AS path FROM documents")
+def path_resolution(spark, d):
+    head = "CASE doc_id % 4 WHEN 0 THEN '/data/a/../b/./' WHEN 1 THEN '/../a//..//' WHEN 2 THEN 'a/../../x/' ELSE './' END"
+    return _table(spark, d, "documents").selectExpr("doc_id", f"concat({head}, CAST(doc_id AS STRING), '.wav') AS path").select("doc_id", resolved("path").alias("path"))
+
+
+@query("SELECT user_id, max(CAST(event_id AS BIGINT)) AS step FROM events GROUP BY user_id")
+def last_steps(spark, d):
+    """The last training step of each run, where users stand for runs and events for steps."""
+    return milestones.last_step(_table(spark, d, "events").select(F.col("user_id"), F.col("event_id").cast("long").alias("step")), "user_id")
+
+
+# --- audio: files made of the tables' numbers, 20 ms of one level after the other
+
+_LEVEL = "CASE WHEN (doc_id * 7 + i * i) % 5 < 2 THEN 0 ELSE 1 + (doc_id + i) % 3 END"
+
+
+def _audio(spark, d) -> DataFrame:
+    """(doc_id, content): mono 16-bit files of 1000 Hz, and some that are none."""
+    le = lambda n: f"lpad(hex({n} % 256), 2, '0'), lpad(hex(({n}) DIV 256), 2, '0'), '0000'"
+    size = "((1 + doc_id % 40) * 40)"
+    data = f"array_join(transform(sequence(0, CAST(doc_id % 40 AS INT)), i -> repeat(element_at(array('0000', '0020', '0040', '0060'), CAST({_LEVEL} + 1 AS INT)), 20)), '')"
+    head = f"'52494646', {le('(36 + ' + size + ')')}, '57415645', '666D7420', '10000000', '0100', '0100', 'E8030000', 'D0070000', '0200', '1000', '64617461', {le(size)}"
+    return _table(spark, d, "documents").selectExpr("doc_id", f"CASE WHEN doc_id % 17 = 0 THEN CAST('no sound' AS BINARY) ELSE unhex(concat({head}, {data})) END AS content")
+
+
+#: By hand: one digit a window, 0 for a silent one; core is without silence at its ends.
+_WINDOWS = f"""SELECT *, length(ltrim(z, '0')) = 0 AS mute, length(z) - length(ltrim(z, '0')) AS lead, length(z) - length(rtrim(z, '0')) AS trail, trim(z, '0') AS core, list_transform(regexp_extract_all(trim(z, '0'), '0+'), lambda x: length(x)) AS runs FROM (
+ SELECT doc_id, levels, length(z) AS n, z FROM (SELECT doc_id, levels, array_to_string(levels, '') AS z FROM (SELECT doc_id, list_transform(range(0, 1 + doc_id % 40), lambda i: {_LEVEL}) AS levels FROM documents WHERE doc_id % 17 <> 0)))"""
+_RMS = "sqrt(list_sum(list_transform(levels, lambda x: x * x * 67108864.0)) / n)"
+
+
+@query(f"""SELECT d.doc_id, n * 20 / 1000e0 AS audio_duration_sec, round(CASE WHEN mute THEN -100e0 ELSE 20 * log10({_RMS} / 32768) END, 3) AS rms_level_db, round(CASE WHEN mute THEN -100e0 ELSE 20 * log10(list_max(levels) / 4e0) END, 3) AS peak_level_db,
+ CASE WHEN mute THEN n * 20 / 1000e0 WHEN n > 0 THEN greatest(0, 2 * lead - 1) * 10 / 1000e0 END AS leading_silence_sec, CASE WHEN mute THEN n * 20 / 1000e0 WHEN n > 0 THEN greatest(0, 20 * trail - 10) / 1000e0 END AS trailing_silence_sec,
+ CASE WHEN mute THEN 1e0 WHEN n > 0 THEN coalesce(2 * list_sum(runs) - len(runs), 0) / CAST(2 * (n - trail) - greatest(0, 2 * lead - 1) AS DOUBLE) END AS internal_silence_ratio,
+ CASE WHEN mute THEN n * 20 / 1000e0 WHEN n > 0 THEN greatest(0, coalesce(2 * list_max(runs) - 1, 0)) * 10 / 1000e0 END AS longest_internal_gap_sec, n IS NOT NULL AS rate_ok FROM documents d LEFT JOIN ({_WINDOWS}) w ON d.doc_id = w.doc_id""")
+def audio_metrics(spark, d):
+    rows = audio.with_metrics(_audio(spark, d), "audit")
+    own = ("audio_duration_sec", "leading_silence_sec", "trailing_silence_sec", "internal_silence_ratio", "longest_internal_gap_sec")
+    return rows.select("doc_id", *own, *(F.round(c, 3).alias(c) for c in ("rms_level_db", "peak_level_db")), audio.has_rate(1000).alias("rate_ok"))
+
+
+@query(f"""SELECT d.doc_id, n * 20 / 1000e0 AS duration, round({_RMS}, 6) AS rms, list_max(levels) * 8192e0 AS peak, lead * 0.02e0 AS leading_silence_sec, CASE WHEN mute THEN n ELSE trail END * 0.02e0 AS trailing_silence_sec,
+ CASE WHEN mute THEN 0e0 WHEN n > 0 THEN coalesce(list_sum(runs), 0) / CAST(length(core) AS DOUBLE) END AS internal_silence_ratio, CASE WHEN mute THEN 0 WHEN n > 0 THEN coalesce(list_max(runs), 0) END * 0.02e0 AS longest_internal_gap_sec,
+ CAST(CASE WHEN mute THEN 0 ELSE len(list_filter(runs, lambda x: x >= 4)) END AS BIGINT) AS internal_gap_count, len(regexp_extract_all(z, '0')) / CAST(n AS DOUBLE) AS low_energy_ratio FROM documents d LEFT JOIN ({_WINDOWS}) w ON d.doc_id = w.doc_id""")
+def term_audio_metrics(spark, d):
+    rows = audio.with_metrics(_audio(spark, d), "term")
+    own = ("duration", "peak", "leading_silence_sec", "trailing_silence_sec", "internal_silence_ratio", "longest_internal_gap_sec", "low_energy_ratio")
+    return rows.select("doc_id", *own, F.round("rms", 6).alias("rms"), F.col("internal_gap_count").cast("long").alias("internal_gap_count"))
+
+
 # --- runs
 
 _RUNS = "(SELECT user_id, g, count(*) AS n FROM (SELECT user_id, quiet, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - row_number() OVER (PARTITION BY user_id, quiet ORDER BY ts, event_id) AS g FROM (SELECT *, value <= 20 AS quiet FROM events)) WHERE quiet GROUP BY user_id, g)"

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 from vokaflow import sinks
 from vokaflow.functions import match
-from vokaflow.functions.text import first_filled
+from vokaflow.functions.text import file_stem, first_filled, is_blank
 from vokaflow.operators import audit, curate, export, manifest
 from vokaflow.sources import audio, corpus
-from vokaflow.sources.manifest import LOOSE_SCHEMA, MANIFEST_SCHEMA, read_buckets, read_manifest
+from vokaflow.sources.manifest import LOOSE_SCHEMA, MANIFEST_SCHEMA, numbered_lines, read_audit, read_buckets, read_manifest, resolved
+
+
+#: The longest list of paths that is broadcast.
+MOST_LISTED = 100_000
 
 
 def _save(spark: SparkSession, path: str, text: str) -> None:
@@ -29,9 +33,10 @@ def _folder(path: str) -> str:
     return path.rsplit("/", 1)[0] if "/" in path else "."
 
 
-def _audio_column(path: str, names: Sequence[str] = ("audio_filepath", "audio", "path", "wav")) -> Column:
+def _audio_column(path: str, names: Sequence[str] = ("audio_filepath", "audio", "path", "wav"), resolve: bool = True) -> Column:
     value = first_filled(*names)
-    return F.when(value == "", "").when(value.startswith("/"), value).otherwise(F.concat(F.lit(_folder(path) + "/"), value))
+    value = F.when(value == "", "").when(value.startswith("/"), value).otherwise(F.concat(F.lit(_folder(path) + "/"), value))
+    return resolved(value) if resolve else value
 
 
 def prepare(spark: SparkSession, folder: str, out: str, *, speaker: str = corpus.SPEAKER, min_duration: float = manifest.MIN_DURATION, max_duration: float = manifest.MAX_DURATION) -> DataFrame:
@@ -69,7 +74,7 @@ def validate_file(spark: SparkSession, path: str, *, check_audio: bool = True, m
 
 def audit_file(spark: SparkSession, path: str, thresholds: audit.AuditThresholds = audit.AuditThresholds()) -> DataFrame:
     """The audit of a JSONL manifest; bad JSON fails. Each audio file is read once."""
-    rows = read_manifest(spark, path, LOOSE_SCHEMA, "fail").select(F.col("line_no").cast("int").alias("manifest_line"), "text", _audio_column(path, ("audio_filepath",)).alias("audio_filepath"))
+    rows = read_manifest(spark, path, LOOSE_SCHEMA, "fail").select(F.col("line_no").cast("int").alias("manifest_line"), "text", _audio_column(path, ("audio_filepath",), resolve=False).alias("audio_filepath"))
     return audit.audit(_measured(spark, rows, "audit", thresholds), thresholds)
 
 
@@ -77,12 +82,50 @@ def _measured(spark: SparkSession, rows: DataFrame, kind: str, thresholds: audit
     folders = [r[0] for r in rows.select(F.regexp_extract("audio_filepath", "^(.*)/[^/]*$", 1)).distinct().collect()]
     fs = corpus._Files(spark)
     there = [f for f in folders if f and fs.is_folder(f)]
+    # Files are measured where they are read: only paths and metrics are shuffled, never sound. A list of paths
+    # of a bounded length is broadcast to spare the other files; beyond it the folders are measured as a whole.
     files = audio.read_audio(spark, there) if there else spark.createDataFrame([], "path string, content binary")
-    wanted = files.join(rows.select(F.col("audio_filepath").alias("path")).distinct(), "path", "left_semi")
-    metrics = audio.with_metrics(wanted, kind, thresholds).withColumnRenamed("path", "_path")
+    wanted = rows.select(F.col("audio_filepath").alias("path")).distinct()
+    if wanted.count() <= MOST_LISTED:
+        files = files.join(F.broadcast(wanted), "path", "left_semi")
+    metrics = audio.with_metrics(files, kind, thresholds).withColumnRenamed("path", "_path")
     return rows.join(metrics, F.col("audio_filepath") == F.col("_path"), "left").drop("_path")
 
 
+def audit_manifest(spark: SparkSession, path: str, out: str, thresholds: audit.AuditThresholds = audit.AuditThresholds()) -> DataFrame:
+    """The audit table and its summary, without filtered manifests."""
+    audit_file(spark, path, thresholds).write.mode("overwrite").parquet(f"{out}/audit.parquet")
+    audited = spark.read.parquet(f"{out}/audit.parquet")
+    sinks.write_audit(audited, f"{out}/audit.csv")
+    _save(spark, f"{out}/summary.md", sinks.audit_markdown(audited, path, thresholds))
+    return audited
+
+
+def filter_file(spark: SparkSession, path: str, audit_path: str, mode: str, out: str) -> dict:
+    """The lines of a manifest that an audit table selects, copied as they are; kept, total and dropped."""
+    audited = read_audit(spark, audit_path)
+    lines = numbered_lines(spark, path).filter(~is_blank("value"))
+    kept = audit.filter_lines(lines, audited, mode)
+    sinks.write_lines(kept, "value", ["line_no"], out)
+    n, total = kept.count(), lines.count()
+    return {"mode": mode, "kept": n, "total": total, "dropped": total - n}
+
+
+def validate_layout(spark: SparkSession, folder: str) -> tuple[int, list[str]]:
+    """(valid rows, errors) of an exported layout. Where files are missing, only that is reported, with no valid rows."""
+    fs = corpus._Files(spark)
+    there = lambda name: fs._path(f"{folder}/{name}").getFileSystem(fs.conf).exists(fs._path(f"{folder}/{name}"))
+    errors = [f"missing: {name}" for name in ("metadata.csv", "config.json") if not there(name)]
+    errors += [] if fs.is_folder(f"{folder}/wavs") else ["missing: wavs/ directory"]
+    if errors:
+        return 0, errors
+    lines = numbered_lines(spark, f"{folder}/metadata.csv").filter(~is_blank("value"))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(f"{folder}/wavs").select(file_stem("path").alias("stem"))
+    bad = export.validate_metadata(lines, listed)
+    found = bad.orderBy("line_no").collect()  # to be printed
+    return lines.count() - len(found), [r["error"] for r in found]
+
+
 def clean(spark: SparkSession, path: str, out: str, thresholds: audit.AuditThresholds = audit.AuditThresholds()) -> dict[str, dict]:
     """Audit table, summary, subset tables and the four filtered manifests, all from one audit."""
     audit_file(spark, path, thresholds).write.mode("overwrite").parquet(f"{out}/audit.parquet")
@@ -99,7 +142,7 @@ def clean(spark: SparkSession, path: str, out: str, thresholds: audit.AuditThres
     return results
 
 
-def audit_terms(spark: SparkSession, path: str, terms: Sequence[str], out: str) -> DataFrame:
+def audit_terms(spark: SparkSession, path: str, terms: Sequence[str], out: str, *, jsonl: bool = False) -> DataFrame:
     """Rows with a target term and their audio metrics, as CSV, with a markdown summary. Audio is read for matching rows only."""
     lines = read_manifest(spark, path, LOOSE_SCHEMA, "count")
     rows = lines.select("line_no", first_filled("text", "sentence", "normalized_text").alias("text"), _audio_column(path).alias("audio_filepath"), F.col("_corrupt").isNotNull().alias("bad"))
@@ -114,6 +157,8 @@ def audit_terms(spark: SparkSession, path: str, terms: Sequence[str], out: str)
     hit.select(*columns).write.mode("overwrite").parquet(f"{out}/terms.parquet")
     hit = spark.read.parquet(f"{out}/terms.parquet")
     sinks.write_csv(hit, ["line_no"], f"{out}/terms.csv")
+    if jsonl:
+        sinks.write_jsonl(hit.withColumn("line", F.col("line_no")), ["line_no"], f"{out}/terms.jsonl")
     good = rows.filter("not bad")
     counts = [curate.term_hits(good, t, "n") for t in (list(terms), match.TARGET_CHARACTERS)]
     _save(spark, f"{out}/summary.md", sinks.term_markdown(path, summary.first().asDict(), *counts, audit.numeric_stats(hit, numbers)))
@@ -159,8 +204,8 @@ def build_oversampled(spark: SparkSession, path: str, buckets_path: str, out: st
     return counts | {"warnings": warnings}
 
 
-def export_layout(spark: SparkSession, folder: str, out: str, *, limit: int | None = None, sample_rate: int = export.SAMPLE_RATE, language: str = export.LANGUAGE) -> DataFrame:
-    """metadata.csv, a stem list per split and config.json from the JSONL manifests of a folder."""
+def export_layout(spark: SparkSession, folder: str, out: str, *, limit: int | None = None, sample_rate: int = export.SAMPLE_RATE, language: str = export.LANGUAGE, link_audio: bool = True) -> DataFrame:
+    """metadata.csv, a stem list per split, config.json and, unless told not to, wavs/ from the JSONL manifests of a folder."""
     fs = corpus._Files(spark)
     parts = [read_manifest(spark, f"{folder}/{s}.jsonl", MANIFEST_SCHEMA, "drop").withColumn("split", F.lit(s)) for s in manifest.SPLITS if fs.jvm.org.apache.hadoop.fs.Path(f"{folder}/{s}.jsonl").getFileSystem(fs.conf).exists(fs._path(f"{folder}/{s}.jsonl"))]
     if not parts:
@@ -177,4 +222,6 @@ def export_layout(spark: SparkSession, folder: str, out: str, *, limit: int | No
     for s in manifest.SPLITS:
         sinks.write_lines(stems.filter(F.col("split") == s), "stem", ["stem"], f"{out}/{s}.txt")
     _save(spark, f"{out}/config.json", export.layout_config(speakers, sample_rate, language))
+    if link_audio:
+        stemmed.select("audio_filepath", "stem").distinct().foreachPartition(export.link_files(f"{out}/wavs"))
     return stemmed

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vokaflow.operators.audit import AuditThresholds
@@ -161,6 +161,11 @@ def with_metrics(files: DataFrame, kind: str = "audit", thresholds: AuditThresho
     return files.select(*(f.name for f in kept), "content").mapInPandas(run, f"{head}, {schema}")
 
 
+def has_rate(rate: int) -> Column:
+    """Whether a measured file is readable and has this sample rate."""
+    return F.coalesce(F.col("sample_rate") == rate, F.lit(False))
+
+
 def read_audio(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, content) of files, without the file: scheme."""
     return spark.read.format("binaryFile").load(paths).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "content")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vokaflow.functions.text import is_blank
@@ -61,13 +61,15 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    """An audit table with reasons as an array."""
+    """An audit table with reasons as an array; columns are found by name, absent ones are null."""
     schema = (
         "manifest_line int, audio_filepath string, text string, text_length int, word_count int, audio_duration_sec double, sample_rate int, channels int, rms_level_db double, "
         "peak_level_db double, clipping_ratio double, leading_silence_sec double, trailing_silence_sec double, internal_silence_ratio double, longest_internal_gap_sec double, "
         "chars_per_sec double, words_per_sec double, quality_score int, status string, reasons string"
     )
-    rows = spark.read.csv(path, header=True, schema=schema, escape='"', multiLine=True)
+    rows = spark.read.csv(path, header=True, escape='"', multiLine=True)
+    typed = (c.split() for c in schema.split(", "))
+    rows = rows.select(*((F.col(c) if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in typed))
     return rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("reasons", F.array_remove(F.split(F.coalesce("reasons", F.lit("")), ";"), ""))
 
 
@@ -84,3 +86,23 @@ def read_hub_records(rows: DataFrame) -> DataFrame:
     speaker = F.coalesce(F.trim(filled(("speaker_id", "speaker", "client_id"))), F.lit("unknown"))
     text = filled(("transcription", "text", "sentence", "transcript"))
     return rows.select(F.col("audio_path").alias("audio_filepath"), text.alias("text"), F.col("duration").cast("double").alias("duration"), speaker.alias("speaker_id")).filter("audio_filepath <> ''")
+
+
+def config_summary(config: str = "value") -> Column:
+    """What a model configuration given as JSON text holds: size and first entries of its id map, symbols, rate, voice; null if it is none."""
+    schema = "num_symbols int, audio struct<sample_rate:int>, espeak struct<voice:string>, phoneme_id_map map<string,array<int>>"
+    parsed = F.from_json(config, schema)
+    names = F.sort_array(F.map_keys(parsed["phoneme_id_map"]))
+    return F.when(parsed["num_symbols"].isNotNull(), F.struct(
+        F.coalesce(F.size(names), F.lit(0)).alias("n_map"), F.slice(names, 1, 6).alias("first"), parsed["num_symbols"].alias("num_symbols"),
+        parsed["audio"]["sample_rate"].alias("sample_rate"), parsed["espeak"]["voice"].alias("voice"),
+    ))
+
+
+def resolved(path: Column | str) -> Column:
+    """A path with ``.``, ``..`` and doubled slashes taken out; links are not followed."""
+    path = F.col(path) if isinstance(path, str) else path
+    up = lambda done: F.when((F.size(done) > 0) & (F.element_at(F.concat(F.array(F.lit("..")), done), -1) != ".."), F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+    step = lambda done, part: F.when(part.isin("", "."), done).when(part != "..", F.concat(done, F.array(part))).otherwise(F.coalesce(up(done), F.when(path.startswith("/"), done).otherwise(F.concat(done, F.array(part)))))
+    parts = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+    return F.concat(F.when(path.startswith("/"), "/").otherwise(""), F.array_join(parts, "/"))

@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+def last_step(steps: DataFrame, run: str) -> DataFrame:
+    """(run, step): the last step of each run, 0 where none is known."""
+    return steps.groupBy(run).agg(F.coalesce(F.max("step"), F.lit(0)).alias("step"))
+
+
 def due(steps: DataFrame, milestones: Sequence[int], done: DataFrame) -> DataFrame:
     """Milestones at or below the highest step that are not done yet; none without steps."""
     spark = steps.sparkSession
