@@ -105,3 +105,44 @@ def test_abbreviations_at_once_equal_one_after_the_other(spark):
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalize_abbreviations("t").alias("v")).collect()
     assert all(r["v"] == one_by_one(r["t"]) for r in got)
+
+
+#: Word characters and blanks of all kinds, those above U+FFFF too, between numbers, and numbers in chains.
+NUMBER_PARTS = ["1", "05", "12", "456", "1.000", "2.345.678", "1.234,5", "1,2", "1,2,3,4,5", "%", " ", " ", "\t", "\n", "\x0b", "\x85", " ", ".", ",", "-", "a", "_", "²", "Ⅷ", "ª", "é", "é", "一", "٣", "٠١", "𝟎", "𐐀", "𝐀", "𝍠", "😀", "\\1", "$1"]
+GLUED = {"𐐀5": "𐐀5", "𐐀5 5": "𐐀5 beş", "𝐀1.234": "𝐀1.iki yüz otuz dört", "𝐀1,5": "𝐀1,beş", "𐐀3. x": "𐐀3. x", "😀5": "😀beş", "5𐐀": "5𐐀"}
+
+
+def _spoken(n: int) -> str:
+    if n == 0:
+        return numbers.ZERO
+    for size, name in ((10**12, numbers.TRILLION), (10**9, numbers.BILLION), (10**6, numbers.MILLION), (1000, numbers.THOUSAND), (100, numbers.HUNDRED)):
+        if n >= size:
+            head = name if n // size == 1 and size <= 1000 else f"{_spoken(n // size)} {name}"
+            return f"{head} {_spoken(n % size)}" if n % size else head
+    return f"{numbers.TENS[n // 10]} {numbers.ONES[n % 10]}".strip()
+
+
+def _read_one_after_the_other(t: str) -> str:
+    whole = lambda m: _spoken(int(m[0].replace(".", "")))
+    decimal = lambda m: f"{_spoken(int(m[1].replace('.', '')))} {numbers.COMMA} {_spoken(int(m[2]))}"
+
+    def ordinal(m):
+        words = _spoken(int(m[1]))
+        return words + numbers.ORDINAL[re.findall("[aıeioöuü]", words)[-1]]
+
+    t = re.sub(r"%\s*(\d+)", lambda m: f"{numbers.PERCENT} {_spoken(int(m[1]))}", t)
+    for pattern, words in ((r"\b(\d{1,3}(?:\.\d{3})+),(\d+)\b", decimal), (r"\b\d{1,3}(?:\.\d{3})+\b", whole), (r"\b(\d+),(\d+)\b", decimal), (r"\b(\d+)\.(?=[ \t])", ordinal), (r"\b\d+\b", whole)):
+        t = re.sub(pattern, words, t)
+    return t
+
+
+def test_numbers_glued_to_characters_above_the_first_plane(spark):
+    assert one(spark, numbers.normalize_numbers, GLUED) == list(GLUED.values()) == [_read_one_after_the_other(t) for t in GLUED]
+
+
+def test_numbers_equal_the_rules_one_after_the_other(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(NUMBER_PARTS) for _ in range(rng.randrange(1, 10))) for _ in range(4000)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", numbers.normalize_numbers("t").alias("v")).collect()
+    bad = [(r["t"], r["v"], w) for r in got if r["v"] != (w := _read_one_after_the_other(r["t"]))]
+    assert not bad, bad[:5]

@@ -19,7 +19,8 @@ WORD = r"[\p{L}\p{N}_]"
 DIGIT = r"\p{Nd}"
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 SOLID = r"[^\s\x1c-\x1f\x85\p{Z}]"
-LEFT, RIGHT = rf"(?<!{WORD})", rf"(?!{WORD})"
+#: Java looks behind by code units unless the pattern itself holds a character above U+FFFF, so LEFT has one, a letter like others.
+LEFT, RIGHT = rf"(?<![{WORD}𐐀])", rf"(?!{WORD})"
 
 #: Two private characters that stand around a match while it is replaced.
 FENCES = ""
