@@ -146,3 +146,11 @@ def test_numbers_equal_the_rules_one_after_the_other(spark):
     got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", numbers.normalize_numbers("t").alias("v")).collect()
     bad = [(r["t"], r["v"], w) for r in got if r["v"] != (w := _read_one_after_the_other(r["t"]))]
     assert not bad, bad[:5]
+
+
+def test_whole_texts_keep_what_is_glued_to_characters_above_the_first_plane(spark):
+    assert one(spark, normalize_text, GLUED) == list(GLUED.values())
+
+
+def test_abbreviations_glued_to_characters_above_the_first_plane(spark):
+    assert one(spark, text.normalize_abbreviations, ["𐐀km", "𝐀Dr.x", "😀km"]) == ["𐐀km", "𝐀Dr.x", "😀kilometre"]
