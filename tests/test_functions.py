@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vokaflow.functions import match, numbers, phonemes, text
 from vokaflow.functions.normalize import normalize_text
+from vokaflow.operators import manifest
 
 WORDS = {
     0: "sıfır", 1: "bir", 9: "dokuz", 10: "on", 20: "yirmi", 99: "doksan dokuz", 100: "yüz", 200: "iki yüz", 999: "dokuz yüz doksan dokuz", 1000: "bin", 2000: "iki bin", 1923: "bin dokuz yüz yirmi üç",
@@ -154,3 +155,8 @@ def test_whole_texts_keep_what_is_glued_to_characters_above_the_first_plane(spar
 
 def test_abbreviations_glued_to_characters_above_the_first_plane(spark):
     assert one(spark, text.normalize_abbreviations, ["𐐀km", "𝐀Dr.x", "😀km"]) == ["𐐀km", "𝐀Dr.x", "😀kilometre"]
+
+
+def test_manifest_keeps_numbers_glued_to_characters_above_the_first_plane(spark):
+    raw = spark.createDataFrame([("a.wav", " 𐐀5 km ", 1.0, "s")], "audio_filepath string, text string, duration double, speaker_id string")
+    assert [r["normalized_text"] for r in manifest.prepare_manifest(raw).collect()] == ["𐐀5 kilometre"]
